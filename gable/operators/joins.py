@@ -107,22 +107,41 @@ def count_unmatched(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.count_if(F.col(col).isNull()).alias("n_unmatched"))
 
 
-def enrich_benchmarks(
-    df: DataFrame, spark, province_table: Mapping, region_table: Mapping, national: Mapping,
-    province_key: str = "province_nl", region_key: str = "region", type_col: str = "property_type",
-    apartment_value: str = "Apartment",
-) -> DataFrame:
-    """E9, E10, D15, D16 (E13): province and region benchmark columns,
-    the type-selected benchmark and the national average by lower(type)."""
+def benchmark_tables(spark, province_table: Mapping, region_table: Mapping) -> tuple[DataFrame, DataFrame]:
+    """The province and region benchmark dimensions as DataFrames with
+    their value columns already suffixed (``*_province`` / ``*_region``)."""
     prov = spark.createDataFrame(list(zip(*province_table.values())), list(province_table.keys()))
     prov = prov.withColumnsRenamed({"apt_avg_m2": "apt_avg_m2_province", "house_avg_m2": "house_avg_m2_province"})
     reg = spark.createDataFrame(list(zip(*region_table.values())), list(region_table.keys()))
     reg = reg.withColumnsRenamed({"apt_avg_m2": "apt_avg_m2_region", "house_avg_m2": "house_avg_m2_region"})
-    df = lookup_join(df.drop(*[c for c in ("province",) if c in df.columns]), fixed(prov), province_key, "province")
-    df = lookup_join(df, fixed(reg), region_key, how="left")
-    nat = {k.lower(): v["avg"] for k, v in national.items()}
+    return prov, reg
+
+
+def enrich_benchmarks(
+    df: DataFrame, spark, province_table: Mapping, region_table: Mapping, national: Mapping,
+    province_key: str = "province_nl", region_key: str = "region", type_col: str = "property_type",
+    apartment_value: str = "Apartment", province_table_key: str = "province", region_table_key: str = "region",
+) -> DataFrame:
+    """E9, E10, D15, D16 (E13): province and region benchmark columns (the
+    table keys are kept, so ``province`` is NULL when no benchmark exists),
+    the type-selected benchmarks and the national average by lower(type).
+
+    The tables are constants, so their broadcast is size-bounded by
+    construction.
+    """
+    prov, reg = benchmark_tables(spark, province_table, region_table)
+    value_cols = ["apt_avg_m2_province", "house_avg_m2_province", "apt_avg_m2_region", "house_avg_m2_region"]
+    prov = prov.withColumns({c: F.col(c).cast("double") for c in value_cols[:2]})
+    reg = reg.withColumns({c: F.col(c).cast("double") for c in value_cols[2:]})
+    stale = [c for c in [province_table_key, *value_cols] if c in df.columns and c != province_key]
+    df = df.drop(*stale)
+    df = lookup_join(df, fixed(prov), province_key, province_table_key)
+    if region_table_key != region_key and region_table_key in df.columns:
+        df = df.drop(region_table_key)
+    df = lookup_join(df, fixed(reg), region_key, region_table_key)
+    nat = {k.lower(): float(v["avg"]) for k, v in national.items()}
     return df.withColumns({
         "province_benchmark_m2": codes.select_by_type(type_col, apartment_value, "apt_avg_m2_province", "house_avg_m2_province"),
         "region_benchmark_m2": codes.select_by_type(type_col, apartment_value, "apt_avg_m2_region", "house_avg_m2_region"),
-        "national_benchmark_m2": codes.lookup(F.lower(type_col), nat).cast("double"),
+        "national_benchmark_m2": codes.lookup(F.lower(type_col), nat),
     })
