@@ -66,13 +66,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 def two_name_lookup(
     df: DataFrame, first_name: str, second_name: str, value_cols: Sequence[str], key: str = "name",
+    order_col: str | None = None,
 ) -> DataFrame:
     """I1 + F2: stack both name variants of each row into one (name, values)
-    lookup, first variant winning when a name occurs in both."""
-    first = df.select(text.lower_strip(first_name).alias(key), *value_cols, F.lit(0).alias("__prio"))
-    second = df.select(text.lower_strip(second_name).alias(key), *value_cols, F.lit(1).alias("__prio"))
+    lookup, first variant winning when a name occurs in both; within a
+    variant the row first in ``order_col`` (file order) wins, else the
+    smallest value."""
+    extra = [order_col] if order_col else []
+    first = df.select(text.lower_strip(first_name).alias(key), *value_cols, *extra, F.lit(0).alias("__prio"))
+    second = df.select(text.lower_strip(second_name).alias(key), *value_cols, *extra, F.lit(1).alias("__prio"))
     stacked = first.unionByName(second).where(F.col(key).isNotNull())
-    return keep_first(stacked, [key], ["__prio"] + list(value_cols)).drop("__prio")
+    order = ["__prio"] + extra + list(value_cols)
+    return keep_first(stacked, [key], order).drop("__prio", *extra)
 
 
 def fallback_lookup(

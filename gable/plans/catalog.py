@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from gable.operators import columns as cols_
 from gable.operators import encode, fitting, joins, metrics, quality, split
 from gable.functions import codes, text
+from gable.sources.files import stage_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -835,13 +836,3 @@ def q_stage_audit(spark, d):
     cust = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     enriched = typed.join(cust, typed.o_custkey == cust.c_custkey, "inner")
     return stage_audit({"raw": raw, "typed": typed, "enriched": enriched})
-
-
-def stage_audit(stages: dict[str, DataFrame]) -> DataFrame:
-    """(stage, n_rows, n_cols) for each named stage, one job."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(name).alias("stage"), "n_rows", F.lit(len(df.columns)).alias("n_cols")) for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -305,3 +305,12 @@ CV_FOLDS = 5
 TEST_SIZE = 0.15
 TRAIN_VAL_TEST = (0.70, 0.15, 0.15)
 RF_TREES = 300
+
+# Raw listing columns used as numbers downstream (read as text from CSV, then
+# coerced); derived from the columns the stages compare numerically.
+RAW_NUMERIC_COLS = [
+    "is_furnished", "garage", "has_garden", "has_terrace", "area", "rooms", "bathrooms", "toilets",
+    "facades_number", "build_year", "elevator", "kitchen_surface", "living_room_surface", "land_surface",
+    "terrace_surface", "apartement_floor", "number_floors", "primary_energy_consumption", "co2",
+    "cadastral_income",
+]
