@@ -36,16 +36,24 @@ from gable.session import cut_lineage
 # ---------------------------------------------------------------------------
 
 def exact_medians(
-    df: DataFrame, cols: Sequence[str], max_collect: int = 100_000, accuracy: int = 10_000, max_rounds: int = 8,
+    df: DataFrame, cols: Sequence[str], max_collect: int = 50_000, accuracy: int = 10_000, max_rounds: int = 8,
 ) -> dict[str, float | None]:
     """Exact median of each column, NULLs skipped, mean of the two middle
     values for an even count (a dataframe-library median). ``None`` for a
-    column without values."""
+    column without values.
+
+    Pass 1 brackets the middle ranks with ``percentile_approx``; pass 2
+    counts rows below / inside the bracket and the distinct values inside;
+    pass 3 collects the bracket as (value, count) pairs -- ties cost one
+    pair, so a heavily tied column is as cheap as a small one. A bracket
+    with too many distinct values is narrowed by another percentile pass
+    restricted to it. Nothing but bounded (value, count) lists reaches the
+    driver, and no task holds a whole column.
+    """
     cols = list(cols)
     if not cols:
         return {}
     vals = {c: F.col(c).cast("double") for c in cols}
-    # pass 1: counts and a first bracket around the middle ranks
     eps = 4.0 / accuracy
     aggs = []
     for i, c in enumerate(cols):
@@ -61,30 +69,30 @@ def exact_medians(
             state[c] = None
             continue
         lo, hi = row[f"b{i}"] if row[f"b{i}"] else (row[f"lo{i}"], row[f"hi{i}"])
-        state[c] = {"n": n, "ranks": ((n - 1) // 2, n // 2), "lo": lo, "hi": hi,
-                    "min": row[f"lo{i}"], "max": row[f"hi{i}"]}
+        state[c] = {"ranks": ((n - 1) // 2, n // 2), "lo": lo, "hi": hi, "min": row[f"lo{i}"], "max": row[f"hi{i}"]}
     result: dict[str, float | None] = {c: None for c in cols if state[c] is None}
     todo = [c for c in cols if state[c] is not None]
     for _ in range(max_rounds):
         if not todo:
             break
-        # counting pass: rows below the bracket and inside it
         aggs = []
         for i, c in enumerate(todo):
             s, v = state[c], vals[c]
-            aggs.append(F.count_if(v < s["lo"]).alias(f"below{i}"))
-            aggs.append(F.count_if(v.between(s["lo"], s["hi"])).alias(f"inside{i}"))
+            inside = v.between(s["lo"], s["hi"])
+            aggs += [F.count_if(v < s["lo"]).alias(f"below{i}"), F.count_if(inside).alias(f"inside{i}"),
+                     F.approx_count_distinct(F.when(inside, v)).alias(f"nd{i}")]
         row = df.agg(*aggs).first()
         small, wide = [], []
         for i, c in enumerate(todo):
             s = state[c]
-            s["below"], s["inside"] = row[f"below{i}"], row[f"inside{i}"]
+            s["below"], s["inside"], nd = row[f"below{i}"], row[f"inside{i}"], row[f"nd{i}"]
             k1, k2 = s["ranks"]
             if not (s["below"] <= k1 and k2 < s["below"] + s["inside"]):
-                # approximation missed (should not happen): widen to the full range
-                s["lo"], s["hi"] = s["min"], s["max"]
+                s["lo"], s["hi"] = s["min"], s["max"]      # approximation missed: whole range
                 wide.append(c)
-            elif s["inside"] <= max_collect:
+            elif s["lo"] == s["hi"]:
+                result[c] = s["lo"]                        # both middle ranks are one tied value
+            elif nd <= max_collect:
                 small.append(c)
             else:
                 wide.append(c)
@@ -93,17 +101,23 @@ def exact_medians(
                 F.when(vals[c].between(state[c]["lo"], state[c]["hi"]), F.struct(F.lit(c).alias("c"), vals[c].alias("v")))
                 for c in small
             ])
-            rows = df.select(F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("p")).select("p.c", "p.v").collect()
-            by_col: dict[str, list[float]] = {c: [] for c in small}
-            for r in rows:
-                by_col[r["c"]].append(r["v"])
+            pairs = (df.select(F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("p"))
+                     .groupBy("p.c", "p.v").agg(F.count(F.lit(1)).alias("k")).collect())
+            by_col: dict[str, list] = {c: [] for c in small}
+            for r in pairs:
+                by_col[r["c"]].append((r["v"], r["k"]))
             for c in small:
                 s = state[c]
-                window = sorted(by_col[c])
                 k1, k2 = s["ranks"]
-                a, b = window[k1 - s["below"]], window[k2 - s["below"]]
+                pos, a, b = s["below"], None, None
+                for value, k in sorted(by_col[c]):
+                    if a is None and k1 < pos + k:
+                        a = value
+                    if k2 < pos + k:
+                        b = value
+                        break
+                    pos += k
                 result[c] = a if k1 == k2 else (a + b) / 2.0
-        # narrow the wide brackets with a percentile pass over the bracket only
         if wide:
             aggs = []
             for i, c in enumerate(wide):
@@ -118,8 +132,8 @@ def exact_medians(
                 if row[f"b{i}"]:
                     state[c]["lo"], state[c]["hi"] = row[f"b{i}"]
         todo = wide
-    for c in todo:  # unresolved after max_rounds: fall back to Spark's exact percentile
-        result[c] = df.agg(F.median(vals[c])).first()[0]
+    if todo:
+        raise RuntimeError(f"median bracket did not converge for {todo}")
     return result
 
 
@@ -170,7 +184,8 @@ def apply_imputation(
     types = {f.name: f.dataType for f in df.schema.fields}
     for c, med in medians.items():
         if c in types and c not in skip and med is not None and not (isinstance(med, float) and math.isnan(med)):
-            exprs[c] = F.coalesce(F.col(c).cast("double"), F.lit(float(med)))
+            v = F.col(c).cast("double")
+            exprs[c] = F.when(v.isNull() | F.isnan(v), F.lit(float(med))).otherwise(v)
     for c in binary_cols:
         if c in types and c not in skip:
             base = exprs.get(c, F.col(c))

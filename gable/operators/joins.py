@@ -22,10 +22,16 @@ from gable.functions import codes, text
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_COUNTS: dict[int, int] = {}
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only after the row count is checked (one cheap job on
-    a small, usually already materialised, lookup)."""
-    n = df.count()
+    a small lookup; the count is remembered per plan for the session)."""
+    key = df.semanticHash()
+    n = _COUNTS.get(key)
+    if n is None:
+        n = _COUNTS[key] = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -82,7 +88,7 @@ def two_name_lookup(
 
 def fallback_lookup(
     df: DataFrame, lookup: DataFrame, first_key: str, second_key: str, group_key: str,
-    value_col: str, lookup_key: str = "name", keep_unmatched: bool = False,
+    value_col: str, lookup_key: str = "name", keep_unmatched: bool = False, pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Value by ``first_key``; rows still NULL get the value found by
     ``second_key``, resolved once per ``group_key`` (first match), then
@@ -94,8 +100,12 @@ def fallback_lookup(
     """
     first = lookup.select(F.col(lookup_key).alias("__k1"), F.col(value_col).alias("__v1"))
     out = df.join(first, df[first_key] == first["__k1"], "left").drop("__k1")
-    # per-group map: first matching second-name value (min name breaks ties)
-    pairs = df.select(group_key, second_key).where(F.col(group_key).isNotNull()).distinct()
+    # per-group map: first matching second-name value (min name breaks ties).
+    # ``pairs`` (group, second name) should come from the dimension that
+    # supplied the names -- the same pairs, without a second pass over df.
+    if pairs is None:
+        pairs = df.select(group_key, second_key)
+    pairs = pairs.select(group_key, second_key).where(F.col(group_key).isNotNull()).distinct()
     second = lookup.select(F.col(lookup_key).alias("__k2"), F.col(value_col).alias("__v2"))
     per_group = (
         pairs.join(second, pairs[second_key] == second["__k2"], "inner")

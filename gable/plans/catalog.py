@@ -529,12 +529,19 @@ def _customer_geo(spark, d):
                      text.lower_strip("r_name").alias("fr"))
 
 
+def _nation_second_names(spark, d):
+    """(nation key, second-language name) pairs from the dimension."""
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_nationkey").alias("c_nationkey"), text.lower_strip("r_name").alias("fr"))
+
+
 @register("fallback_lookup", "WITH " + _INCOME_SQL + """
 SELECT c_custkey, c_nationkey, median_income FROM joined WHERE median_income IS NOT NULL
 """)
 def q_fallback_lookup(spark, d):
     out = joins.fallback_lookup(_customer_geo(spark, d), _income_lookup(spark, d), "nl", "fr", "c_nationkey",
-                                "median_income")
+                                "median_income", pairs=_nation_second_names(spark, d))
     return out.select("c_custkey", "c_nationkey", "median_income")
 
 
@@ -543,7 +550,7 @@ SELECT COUNT(*) FILTER (WHERE median_income IS NULL) AS n_unmatched FROM joined
 """)
 def q_unmatched_count(spark, d):
     out = joins.fallback_lookup(_customer_geo(spark, d), _income_lookup(spark, d), "nl", "fr", "c_nationkey",
-                                "median_income", keep_unmatched=True)
+                                "median_income", keep_unmatched=True, pairs=_nation_second_names(spark, d))
     return joins.count_unmatched(out, "median_income")
 
 

@@ -115,8 +115,10 @@ def stage25(df: DataFrame, lk: Lookups, keep_unmatched: bool = False) -> DataFra
     df = df.withColumn("postal_code", text.int_key_string("postal_code"))                     # C8
     df = joins.lookup_join(df, joins.bounded(lk.postal), "postal_code")                       # E1 (fan-out)
     df = joins.lookup_join(df, joins.bounded(lk.geo), "municipality_code", "CD_REFNIS")       # E2
+    names = lk.geo.select(F.col("CD_REFNIS").alias("municipality_code"), "municipality_fr_lower")
     df = joins.fallback_lookup(df, lk.income, "municipality_nl_lower", "municipality_fr_lower",
-                               "municipality_code", "median_income", keep_unmatched=keep_unmatched)   # E3-E7
+                               "municipality_code", "median_income", keep_unmatched=keep_unmatched,
+                               pairs=names)                                                   # E3-E7
     df = C.rename_if_present(df, P.GEO_RENAMES)
     df = df.withColumn("province_lang", text.coalesce_blank("province_nl", "province_fr"))    # C9
     df = df.withColumn("region", codes.lookup("province_lang", P.PROVINCE_TO_REGION))         # D17

@@ -108,7 +108,9 @@ def stage25(spark: SparkSession, d: str, df: DataFrame) -> DataFrame:
     df = df.withColumns({"nl": text.lower_strip("n_name"), "fr": text.lower_strip("r_name"),
                          "ptype": F.when(F.col("c_mktsegment") == "BUILDING", "Apartment")
                          .when(F.col("c_mktsegment") == "HOUSEHOLD", "House").otherwise(F.col("c_mktsegment"))})
-    df = joins.fallback_lookup(df, income_lookup(spark, d), "nl", "fr", "c_nationkey", "median_income")
+    names = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_nationkey").alias("c_nationkey"), text.lower_strip("r_name").alias("fr"))
+    df = joins.fallback_lookup(df, income_lookup(spark, d), "nl", "fr", "c_nationkey", "median_income", pairs=names)
     df = joins.enrich_benchmarks(df, spark, NATION_BENCH, REGION_BENCH, NATIONAL_BENCH,
                                  province_key="n_name", region_key="r_name", type_col="ptype")
     return C.drop_if_present(df, ["nl", "fr", "c_custkey", "n_nationkey", "n_regionkey", "r_regionkey", "c_nationkey"])
