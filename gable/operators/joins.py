@@ -62,12 +62,19 @@ def lookup_join(
     return out
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """one row per key, the first by ``order`` (file order does not
-    exist in Spark, so priority must be explicit). The window is hash
-    partitioned by the key; ties beyond ``order`` are broken arbitrarily."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """one row per key, the first by the ``order`` columns (file order
+    does not exist in Spark, so priority must be explicit; rows equal on
+    every order column are interchangeable).
+
+    An aggregate, not a window: ``min_by`` combines map-side, so a key
+    holding a third of all rows is reduced in every map task before the
+    shuffle instead of being sorted whole by one task.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    rank = F.struct(*[F.col(c) for c in order])
+    first = F.min_by(F.struct(*[F.col(c) for c in rest]), rank).alias("__first")
+    return df.groupBy(*keys).agg(first).select(*keys, "__first.*")
 
 
 def two_name_lookup(

@@ -843,3 +843,57 @@ def q_stage_audit(spark, d):
     cust = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     enriched = typed.join(cust, typed.o_custkey == cust.c_custkey, "inner")
     return stage_audit({"raw": raw, "typed": typed, "enriched": enriched})
+
+
+# ---------------------------------------------------------------------------
+# K7 / K8: feature-column selection (the matrix columns, before assembling)
+# ---------------------------------------------------------------------------
+
+_FLAG_TE = {"A": 1.0, "N": 2.0, "R": 3.0}
+
+
+@register("feature_columns", """
+SELECT l_extendedprice, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax,
+       CASE l_returnflag WHEN 'A' THEN 1.0 WHEN 'N' THEN 2.0 WHEN 'R' THEN 3.0 END AS l_returnflag_te_price
+FROM lineitem
+""")
+def q_feature_columns(spark, d):
+    from gable.ml.features import select_feature_columns
+    df = table(spark, d, "lineitem")
+    df = encode.add_log_features(df, ["l_quantity"])                       # dropped for trees
+    df = df.withColumns({
+        "l_returnflag_te_price": codes.lookup("l_returnflag", _FLAG_TE),   # kept for trees
+        "price_log": F.log1p("l_extendedprice"),                            # leakage
+        "ratio_to_list": F.col("l_extendedprice") / F.col("l_quantity"),    # leakage prefix
+        "__stage1_version": F.lit("1.0.0"),                                 # technical
+    })
+    out, _ = select_feature_columns(df, "l_extendedprice", "rf")
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Q7 option: out-of-fold target encoding (each fold encoded by the others)
+# ---------------------------------------------------------------------------
+
+_FOLD_SQL = _bucket_sql("CAST(o_orderkey AS VARCHAR)", "fold:42", 5)
+
+
+@register("target_encode_oof", f"""
+WITH f AS (SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS y,
+                  CAST({_FOLD_SQL} AS INTEGER) AS fold FROM orders),
+pf AS (SELECT o_orderpriority AS key, fold, SUM(y) AS s, COUNT(y) AS n FROM f
+       WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2),
+tot AS (SELECT key, SUM(s) AS ts, SUM(n) AS tn FROM pf GROUP BY key),
+gf AS (SELECT fold, SUM(y) AS gs, COUNT(y) AS gn FROM f GROUP BY fold),
+g AS (SELECT fold, CAST((SUM(gs) OVER () - gs) AS DOUBLE) / (SUM(gn) OVER () - gn) AS g FROM gf),
+te AS (SELECT pf.key, pf.fold,
+              (CAST(tot.ts - pf.s AS DOUBLE) + CAST(100.0 AS DOUBLE) * g.g) / ((tot.tn - pf.n) + CAST(100.0 AS DOUBLE)) AS te
+       FROM pf JOIN tot ON pf.key = tot.key JOIN g ON pf.fold = g.fold)
+SELECT f.o_orderkey, f.fold, COALESCE(te.te, g.g) AS o_orderpriority_te
+FROM f LEFT JOIN g ON f.fold = g.fold LEFT JOIN te ON te.key = f.o_orderpriority AND te.fold = f.fold
+""")
+def q_target_encode_oof(spark, d):
+    from gable.operators.stage3 import per_fold_target_encoding
+    df = split.assign_fold(table(spark, d, "orders"), "o_orderkey", 5, seed=42)
+    out = per_fold_target_encoding(df, ["o_orderpriority"], "o_totalprice", alpha=100.0, exact_decimal=(18, 2))
+    return out.select("o_orderkey", "fold", "o_orderpriority_te")
