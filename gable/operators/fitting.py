@@ -78,14 +78,23 @@ def exact_medians(
         aggs = []
         for i, c in enumerate(todo):
             s, v = state[c], vals[c]
-            inside = v.between(s["lo"], s["hi"])
-            aggs += [F.count_if(v < s["lo"]).alias(f"below{i}"), F.count_if(inside).alias(f"inside{i}"),
-                     F.approx_count_distinct(F.when(inside, v)).alias(f"nd{i}")]
+            aggs += [F.count_if(v < s["lo"]).alias(f"below{i}"),
+                     F.count_if(v.between(s["lo"], s["hi"])).alias(f"inside{i}")]
         row = df.agg(*aggs).first()
-        small, wide = [], []
         for i, c in enumerate(todo):
+            state[c]["below"], state[c]["inside"] = row[f"below{i}"], row[f"inside{i}"]
+        # distinct values can only exceed the limit when rows do: estimate
+        # them (one more pass) just for those brackets
+        crowded = [c for c in todo if state[c]["inside"] > max_collect and state[c]["lo"] != state[c]["hi"]]
+        distinct = {c: state[c]["inside"] for c in todo}
+        if crowded:
+            row = df.agg(*[F.approx_count_distinct(F.when(vals[c].between(state[c]["lo"], state[c]["hi"]), vals[c]))
+                           .alias(f"nd{i}") for i, c in enumerate(crowded)]).first()
+            distinct.update({c: row[f"nd{i}"] for i, c in enumerate(crowded)})
+        small, wide = [], []
+        for c in todo:
             s = state[c]
-            s["below"], s["inside"], nd = row[f"below{i}"], row[f"inside{i}"], row[f"nd{i}"]
+            nd = distinct[c]
             k1, k2 = s["ranks"]
             if not (s["below"] <= k1 and k2 < s["below"] + s["inside"]):
                 s["lo"], s["hi"] = s["min"], s["max"]      # approximation missed: whole range

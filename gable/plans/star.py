@@ -50,8 +50,17 @@ STAGE3 = Stage3(
 )
 
 
+_READS: dict = {}
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """One DataFrame per (session, table): the file listing and footer read
+    happen once, and repeated uses of a table share one scan node."""
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def stage1(spark: SparkSession, d: str) -> DataFrame:
