@@ -22,7 +22,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -36,7 +36,8 @@ from gable.session import cut_lineage
 # ---------------------------------------------------------------------------
 
 def exact_medians(
-    df: DataFrame, cols: Sequence[str], max_collect: int = 50_000, accuracy: int = 10_000, max_rounds: int = 8,
+    df: DataFrame, cols: Sequence[str] | Mapping[str, Column], max_collect: int = 50_000, accuracy: int = 10_000,
+    max_rounds: int = 8,
 ) -> dict[str, float | None]:
     """Exact median of each column, NULLs skipped, mean of the two middle
     values for an even count (a dataframe-library median). ``None`` for a
@@ -50,10 +51,13 @@ def exact_medians(
     restricted to it. Nothing but bounded (value, count) lists reaches the
     driver, and no task holds a whole column.
     """
-    cols = list(cols)
+    if isinstance(cols, Mapping):     # named expressions, e.g. one per CV fold
+        vals = {name: expr.cast("double") for name, expr in cols.items()}
+    else:
+        vals = {c: F.col(c).cast("double") for c in cols}
+    cols = list(vals)
     if not cols:
         return {}
-    vals = {c: F.col(c).cast("double") for c in cols}
     eps = 4.0 / accuracy
     aggs = []
     for i, c in enumerate(cols):

@@ -57,7 +57,7 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     """One DataFrame per (session, table): the file listing and footer read
     happen once, and repeated uses of a table share one scan node."""
     path = f"{d.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]

@@ -144,3 +144,13 @@ def test_stage3_fit_ignores_test_rows(spark):
     assert model.medians["area"] == 2.0
     assert out["t"].area == 2.0 and out["u"].area == 2.0 and out["u"].area_missing == 1
     assert out["u"].cat_te_price == 150.0   # unseen -> train global mean
+
+
+def test_fold_medians_equal_per_fold_medians(spark):
+    from gable.ml.features import fold_medians
+    rows = [(i % 3, float((i * 7) % 11) if i % 4 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "fold int, x double")
+    together = fold_medians(df, ["x"], "fold", 3)
+    for i in range(3):
+        alone = fitting.exact_medians(df.where(F.col("fold") != i), ["x"])["x"]
+        assert together[i]["x"] == alone
