@@ -78,11 +78,15 @@ def to_number(col: Column | str) -> Column:
     return F.when(s.rlike(_NUMBER_RE), strip_blank(s).try_cast("double"))
 
 
-def clean_numeric_string(col: Column | str, remove: str = "m") -> Column:
+def clean_numeric_string(col: Column | str, remove: str = "m", strict: bool = False) -> Column:
     """Drop every occurrence of ``remove``, strip, '' / 'nan' / 'None' ->
-    NULL, then parse as double (malformed -> NULL)."""
+    NULL, then parse as double: malformed text -> NULL, or with ``strict``
+    the query fails on it (an ANSI cast), as a strict float parse does."""
     s = strip_blank(F.replace(_c(col).cast("string"), F.lit(remove), F.lit("")))
     s = F.when(s.isin("", "nan", "None"), F.lit(None).cast("string")).otherwise(s)
+    if strict:
+        return F.when(s.isNull() | s.rlike(_NUMBER_RE), s).otherwise(F.concat(F.lit("not a number: "), s)) \
+            .cast("double")
     return to_number(s)
 
 

@@ -58,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(a machine-local folder does not survive executor loss)")
         root = tempfile.mkdtemp(prefix="gable-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

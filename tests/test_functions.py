@@ -85,3 +85,12 @@ def test_select_by_type(spark):
                                "t string, a int, h int")
     assert col_values(df, codes.select_by_type("t", "Apartment", "a", "h")) == [1, 2, 2, 2]
     assert col_values(df, F.col("t")) == ["Apartment", "House", None, "Other"]
+
+
+def test_clean_numeric_strict_raises(spark):
+    import pytest
+    ok = one_col(spark, ["12 m", None, "nan"])
+    assert col_values(ok, text.clean_numeric_string("x", strict=True)) == [12.0, None, None]
+    bad = one_col(spark, ["12 m", "wide"])
+    with pytest.raises(Exception):
+        bad.select(text.clean_numeric_string("x", strict=True)).collect()
