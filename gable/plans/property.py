@@ -154,7 +154,7 @@ def run_full_pipeline(raw: DataFrame, lk: Lookups, out_dir: str | None = None, p
     df = split.assign_split(enriched, "property_id", P.TRAIN_VAL_TEST, seed=P.RANDOM_STATE)       # L1
     df = C.drop_if_present(df, P.TECHNICAL_COLS)                                             # B8
     df = cut_lineage(df)
-    model = Stage3.preset(preset).fit(df.where(F.col("split") == "train"))
+    model = Stage3.preset(preset, materialize=False).fit(df.where(F.col("split") == "train"))
     out = model.transform(df)
     return {"stage1": s1, "stage2": enriched,
             "train": out.where(F.col("split") == "train").drop("split"),

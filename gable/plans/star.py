@@ -47,6 +47,7 @@ STAGE3 = Stage3(
     log_cols=("qty_sum",),
     te_cols=("c_mktsegment", "n_name", "o_custkey", "priority_label"),
     target="price", alpha=100.0, te_suffix="_te_price", exact_decimal=(18, 2),
+    materialize=False,   # run() checkpoints the split frame before fitting
 )
 
 

@@ -117,3 +117,27 @@ def test_run_full_pipeline_and_export(spark, raw, lookups, tmp_path):
     audit = prop.export(raw, lookups, str(tmp_path / "export"))
     got = {r.stage: r.n_rows for r in audit.collect()}
     assert got == {"stage1": 10, "stage2": 6, "stage2_5": 7}
+
+
+def test_segment_scoring_on_listings(spark, raw, lookups):
+    from gable.ml.features import assemble, select_feature_columns
+    from gable.ml.models import make_regressor
+    from gable.operators.stage3 import Stage3
+    enriched = prop.enrich(raw, lookups).drop("__stage1_version", "__stage2_version").checkpoint()
+    spec = Stage3.preset("training")
+    s3, regs, feats = {}, {}, None
+    for name, cond in (("house", F.col("property_type") == "House"), ("apartment", F.col("property_type") != "House")):
+        part = enriched.where(cond)
+        s3[name] = spec.fit(part)
+        frame, f = select_feature_columns(s3[name].transform(part), "price", "training")
+        feats = sorted(set(f) & set(feats or f))
+        regs[name] = frame
+    for name in regs:
+        m = assemble(regs[name].na.fill(0.0), feats, "price").df
+        regs[name] = make_regressor("xgb", {"maxIter": 2, "maxDepth": 2}).fit(m)
+    # a new listing that supplies its own locality encoding but has no locality column
+    new = enriched.drop("locality").withColumn("locality_te_price", F.lit(123.0))
+    scored = prop.score(new.na.fill(0.0, subset=[c for c in feats if c in new.columns]), s3, regs, feats)
+    got = {(r.property_id, r.model) for r in scored.collect()}
+    assert {m for _, m in got} == {"house", "apartment"}
+    assert {pid for pid, m in got if m == "house"} == {"P1", "P8"}
