@@ -105,6 +105,7 @@ def fallback_lookup(
     aggregate over the distinct (group, second name) pairs joined to the
     lookup, so it is as small as the number of groups.
     """
+    lookup = bounded(lookup.select(lookup_key, value_col))   # broadcast only when its count is small
     first = lookup.select(F.col(lookup_key).alias("__k1"), F.col(value_col).alias("__v1"))
     out = df.join(first, df[first_key] == first["__k1"], "left").drop("__k1")
     # per-group map: first matching second-name value (min name breaks ties).
