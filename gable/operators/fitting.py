@@ -31,6 +31,13 @@ from gable.operators.joins import BROADCAST_MAX_ROWS
 from gable.session import cut_lineage
 
 
+def as_number(col: Column | str) -> Column:
+    """Double with NaN read as missing (NULL), as a dataframe library's
+    statistics skip NaN."""
+    v = (F.col(col) if isinstance(col, str) else col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 # ---------------------------------------------------------------------------
 # medians (F6)
 # ---------------------------------------------------------------------------
@@ -52,9 +59,9 @@ def exact_medians(
     driver, and no task holds a whole column.
     """
     if isinstance(cols, Mapping):     # named expressions, e.g. one per CV fold
-        vals = {name: expr.cast("double") for name, expr in cols.items()}
+        vals = {name: as_number(expr) for name, expr in cols.items()}
     else:
-        vals = {c: F.col(c).cast("double") for c in cols}
+        vals = {c: as_number(c) for c in cols}
     cols = list(vals)
     if not cols:
         return {}
@@ -167,8 +174,9 @@ def modes(df: DataFrame, cols: Sequence[str], empty_value=0) -> dict[str, object
     for group, vtype in ((numeric, "double"), (strings, "string")):
         if not group:
             continue
+        value = (lambda c: as_number(c)) if vtype == "double" else (lambda c: F.col(c).cast("string"))
         long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(c).cast(vtype).alias("v")) for c in group
+            F.struct(F.lit(c).alias("c"), value(c).alias("v")) for c in group
         ])).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
         counted = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
         best = counted.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("mode"))
@@ -262,8 +270,8 @@ def fit_target_encoding(
     the means independent of summation order (money columns).
     """
     cols = present(df, cols)
-    y = F.col(target)
-    y_sum = y.cast(f"decimal({exact_decimal[0]},{exact_decimal[1]})") if exact_decimal else y.cast("double")
+    y = as_number(target)
+    y_sum = y.cast(f"decimal({exact_decimal[0]},{exact_decimal[1]})") if exact_decimal else y
     entries = [F.struct(F.lit("__all__").alias("column"), F.lit(None).cast("string").alias("key"))]
     entries += [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in cols]
     long = df.select(F.explode(F.array(*entries)).alias("e"), y_sum.alias("y")).select("e.column", "e.key", "y")
@@ -294,8 +302,8 @@ def add_group_means(
     in-memory window partition, and AQE broadcasts the per-key table when
     small or splits a skewed key on the row side.
     """
-    y = F.col(value)
-    y_sum = y.cast(f"decimal({exact_decimal[0]},{exact_decimal[1]})") if exact_decimal else y.cast("double")
+    y = as_number(value)
+    y_sum = y.cast(f"decimal({exact_decimal[0]},{exact_decimal[1]})") if exact_decimal else y
     for out_col, key in specs.items():
         if key not in df.columns or value not in df.columns:
             continue

@@ -154,3 +154,26 @@ def test_fold_medians_equal_per_fold_medians(spark):
     for i in range(3):
         alone = fitting.exact_medians(df.where(F.col("fold") != i), ["x"])["x"]
         assert together[i]["x"] == alone
+
+
+def test_nan_is_missing_in_statistics(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, "a", 10.0), (nan, "a", nan), (3.0, "b", 30.0), (nan, "b", 50.0)],
+                               "x double, k string, y double")
+    assert fitting.exact_medians(df, ["x"]) == {"x": 2.0}
+    assert fitting.modes(df, ["x"]) == {"x": 1.0}
+    enc = fitting.fit_target_encoding(df, ["k"], "y", alpha=1.0)
+    assert enc.global_mean == 30.0
+    out = {r.k: r.m for r in fitting.add_group_means(df, {"m": "k"}, "y").collect()}
+    assert out == {"a": 10.0, "b": 40.0}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 100)), min_size=1, max_size=25))
+def test_te_lies_between_group_and_global_mean(spark, rows):
+    df = spark.createDataFrame([(k, float(v)) for k, v in rows], "k string, y double")
+    enc = fitting.fit_target_encoding(df, ["k"], "y", alpha=5.0)
+    g = enc.global_mean
+    for r in enc.table.collect():
+        lo, hi = min(r.mean, g), max(r.mean, g)
+        assert lo - 1e-9 <= r.te <= hi + 1e-9
