@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gable.ml import end_to_end_sql
 from gable.ml import features as MF
 from gable.ml import models, search
 from gable.operators import split
@@ -28,10 +29,11 @@ def model_frame(spark, d, model_type: str = "xgb"):
     return frame, feats
 
 
-@register("end_to_end")
+@register("end_to_end", end_to_end_sql.build())
 def q_end_to_end(spark, d):
     rows, _ = star.run(spark, d)
-    return rows
+    # log1p and ln(1 + x) may differ in the last bit between engines
+    return rows.withColumn("qty_sum_log", F.round("qty_sum_log", 9))
 
 
 @register("feature_matrix")

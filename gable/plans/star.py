@@ -79,9 +79,13 @@ def line_aggregates(spark: SparkSession, d: str) -> DataFrame:
     """Per-order line statistics: one partially aggregated shuffle on the
     order key (lineitem is the largest table)."""
     li = _t(spark, d, "lineitem")
+
+    def exact_avg(c):   # rates have 2 decimals: exact sums, order-independent
+        return F.try_divide(F.sum(F.col(c).cast("decimal(12,2)")).cast("double"), F.count(c))
+
     return li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty_sum"),
-        F.avg("l_discount").alias("disc_avg"), F.avg("l_tax").alias("tax_avg"))
+        exact_avg("l_discount").alias("disc_avg"), exact_avg("l_tax").alias("tax_avg"))
 
 
 def stage2(spark: SparkSession, d: str, df: DataFrame) -> DataFrame:

@@ -59,6 +59,7 @@ def _isna(v):
 
 
 def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
+    import gable.ml.queries  # noqa: F401  (registers the model-side queries)
     from gable.plans.catalog import ORACLE, QUERIES
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -80,6 +81,7 @@ def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
 
 if __name__ == "__main__":
     from gable.session import get_spark
+    import gable.ml.queries  # noqa: F401
     from gable.plans.catalog import ORACLE
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or sorted(ORACLE)

@@ -3,6 +3,7 @@
 import pytest
 
 from oracle import compare, duck
+import gable.ml.queries  # noqa: F401
 from gable.plans.catalog import ORACLE
 
 SF = "/root/testdata/sf0.001"
