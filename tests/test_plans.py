@@ -32,3 +32,13 @@ def test_target_encoding_apply_has_no_shuffle_of_rows(spark):
     # the fitted tables are checkpointed and broadcast; the order rows are
     # only scanned, projected and probed
     assert "SortMergeJoin" not in p
+
+
+def test_stage3_transform_does_not_shuffle_rows(spark):
+    from gable.plans import star
+    rows, _ = star.run(spark, SF_SMALL)
+    rows.write.format("noop").mode("overwrite").save()
+    p = plan(rows)
+    # input is the checkpointed split frame; every fitted table is broadcast
+    assert "SortMergeJoin" not in p and "Exchange hashpartitioning" not in p
+    assert p.count("BroadcastHashJoin") == 4
