@@ -141,3 +141,17 @@ def test_segment_scoring_on_listings(spark, raw, lookups):
     got = {(r.property_id, r.model) for r in scored.collect()}
     assert {m for _, m in got} == {"house", "apartment"}
     assert {pid for pid, m in got if m == "house"} == {"P1", "P8"}
+
+
+def test_familiar_entry_points(spark, paths, lookups):
+    from gable import api
+    s1 = api.load_and_clean_stage1(spark, paths["listings"])
+    s25 = api.stage25_geo_enrichment(api.stage2_pipeline(s1), lookups).checkpoint()
+    assert s25.count() == 7
+    fitted = api.fit_stage3(s25)
+    out = api.transform_stage3(s25, fitted)
+    m = api.prepare_X_y(out.na.fill(0.0), "training")
+    assert "area_log" not in m.features and "postal_code_te_price" in m.features
+    assert m.df.count() == 7
+    one = api.stage3_pipeline(s25)
+    assert "postal_price_mean" in one.columns
