@@ -120,3 +120,13 @@ def q_segment_models_score(spark, d):
     medians = {name: med for name, (_, med) in fitted.items()}
     return search.score_by_segment(frame.where(F.col("split") == "test"), loaded, "c_mktsegment", "HOUSEHOLD",
                                    "house", "apartment", feats, medians, keep=["o_orderkey", "c_mktsegment"])
+
+
+@register("lr_coefficients")
+def q_lr_coefficients(spark, d):
+    """M6 + H2: linear-model coefficients, top 20 by absolute value."""
+    from gable.operators import metrics
+    frame, feats = model_frame(spark, d, "linear")
+    train, _, _ = MF.median_impute(frame.where(F.col("split") == "train"), [], feats)
+    model = models.make_regressor("linear").fit(MF.assemble(train, feats, "price").df)
+    return metrics.top_k(models.importance_table(model, feats), "coefficient", 20, by_abs=True)

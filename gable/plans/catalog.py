@@ -897,3 +897,19 @@ def q_target_encode_oof(spark, d):
     df = split.assign_fold(table(spark, d, "orders"), "o_orderkey", 5, seed=42)
     out = per_fold_target_encoding(df, ["o_orderpriority"], "o_totalprice", alpha=100.0, exact_decimal=(18, 2))
     return out.select("o_orderkey", "fold", "o_orderpriority_te")
+
+
+# ---------------------------------------------------------------------------
+# F14 (second half): value range of actual and predicted, per split
+# ---------------------------------------------------------------------------
+
+@register("prediction_range", "WITH " + _PRED_SQL + """
+SELECT split, MIN(y) AS y_min, MAX(y) AS y_max, MIN(p_a) AS p_min, MAX(p_a) AS p_max,
+       MIN(y - p_a) AS r_min, MAX(y - p_a) AS r_max
+FROM preds GROUP BY split
+""")
+def q_prediction_range(spark, d):
+    r = F.col("y") - F.col("p_a")
+    return _line_preds(spark, d).groupBy("split").agg(
+        F.min("y").alias("y_min"), F.max("y").alias("y_max"), F.min("p_a").alias("p_min"),
+        F.max("p_a").alias("p_max"), F.min(r).alias("r_min"), F.max(r).alias("r_max"))
