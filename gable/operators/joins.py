@@ -22,13 +22,14 @@ from gable.functions import codes, text
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-_COUNTS: dict[int, int] = {}
+_COUNTS: dict[tuple, int] = {}
 
 
 def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only after the row count is checked (one cheap job on
     a small lookup; the count is remembered per plan for the session)."""
-    key = df.semanticHash()
+    # plan + the files it reads: a table that gained files is counted again
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
     n = _COUNTS.get(key)
     if n is None:
         n = _COUNTS[key] = df.count()

@@ -131,7 +131,9 @@ def stage25(spark: SparkSession, d: str, df: DataFrame) -> DataFrame:
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
-    """Stages 1, 2 and 2.5 as one lazy plan (the export of M15)."""
+    """Stages 1, 2 and 2.5 as one lazy plan (the export of M15). Tables are
+    listed afresh for every flow and shared within it."""
+    _READS.clear()
     return stage25(spark, d, stage2(spark, d, stage1(spark, d)))
 
 
