@@ -153,7 +153,7 @@ def run_full_pipeline(raw: DataFrame, lk: Lookups, out_dir: str | None = None, p
         enriched = files.read_table(raw.sparkSession, f"{out_dir}/stage2")
     df = split.assign_split(enriched, "property_id", P.TRAIN_VAL_TEST, seed=P.RANDOM_STATE)       # L1
     df = C.drop_if_present(df, P.TECHNICAL_COLS)                                             # B8
-    df = cut_lineage(df)
+    df = cut_lineage(df, columnar=True)
     model = Stage3.preset(preset, materialize=False).fit(df.where(F.col("split") == "train"))
     out = model.transform(df)
     return {"stage1": s1, "stage2": enriched,

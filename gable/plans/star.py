@@ -144,6 +144,6 @@ def run(spark: SparkSession, d: str, spec: Stage3 = STAGE3):
     # the fit reads the train rows several times (medians, modes, encodings)
     # and the transform reads all rows again: materialise once in the
     # shared checkpoint folder instead of re-running joins and aggregates
-    df = cut_lineage(df)
+    df = cut_lineage(df, columnar=True)
     model = spec.fit(df.where(F.col("split") == "train"))
     return model.transform(df), model

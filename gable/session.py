@@ -74,12 +74,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{os.getpid()}-{next(_counter)}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Survives executor loss (unlike a local checkpoint) and turns a long
-    plan into a plain scan for iterative jobs.
+def cut_lineage(df: DataFrame, columnar: bool = False) -> DataFrame:
+    """Cut the lineage of ``df`` in the shared checkpoint folder.
+
+    Both forms survive executor loss (unlike a local checkpoint, the data is
+    on the shared folder) and turn a long plan into a plain scan.
+
+    * ``columnar=False``: reliable ``checkpoint()`` of the rows; keeps the
+      partitioning. For matrices and small tables that are read whole.
+    * ``columnar=True``: a Parquet table in the folder, read back. For wide
+      frames that later passes scan a few columns at a time (fit
+      statistics): each pass reads only its columns, compressed, and the
+      planner gets file-size statistics.
     """
+    if columnar:
+        path = scratch_path(df.sparkSession, "cut")
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
