@@ -163,30 +163,33 @@ def exact_medians(
 
 def modes(df: DataFrame, cols: Sequence[str], empty_value=0) -> dict[str, object]:
     """Most frequent non-null value per column, the smallest on ties;
-    ``empty_value`` for a column without values. One job per value type."""
+    ``empty_value`` for a column without values. One job for all columns:
+    numeric values travel as doubles (NaN read as missing), others as
+    strings, in one unpivoted (column, value) aggregate."""
     cols = list(cols)
     if not cols:
         return {}
     types = {f.name: f.dataType for f in df.schema.fields}
+    numeric = {c for c in cols if isinstance(types[c], NumericType)}
+    entries = [F.struct(F.lit(c).alias("c"),
+                        (as_number(c) if c in numeric else F.lit(None).cast("double")).alias("vn"),
+                        (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")).alias("vs"))
+               for c in cols]
+    long = df.select(F.explode(F.array(*entries)).alias("p")).select("p.c", "p.vn", "p.vs") \
+        .where(F.col("vn").isNotNull() | F.col("vs").isNotNull())
+    counted = long.groupBy("c", "vn", "vs").agg(F.count(F.lit(1)).alias("n"))
+    best = counted.groupBy("c").agg(F.min_by(F.struct("vn", "vs"), F.struct(-F.col("n"), F.col("vn"), F.col("vs")))
+                                    .alias("m"))
     out: dict[str, object] = {c: empty_value for c in cols}
-    numeric = [c for c in cols if isinstance(types[c], NumericType)]
-    strings = [c for c in cols if c not in numeric]
-    for group, vtype in ((numeric, "double"), (strings, "string")):
-        if not group:
-            continue
-        value = (lambda c: as_number(c)) if vtype == "double" else (lambda c: F.col(c).cast("string"))
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("c"), value(c).alias("v")) for c in group
-        ])).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
-        counted = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        best = counted.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("mode"))
-        for r in best.collect():  # one row per column
-            value = r["mode"]
-            if vtype == "double" and not isinstance(types[r["c"]], (StringType,)):
-                dt = types[r["c"]].typeName()
-                if dt in ("integer", "long", "short", "byte") and value is not None:
-                    value = int(value)
-            out[r["c"]] = value
+    for r in best.collect():  # one row per column
+        c = r["c"]
+        if c in numeric:
+            value = r["m"]["vn"]
+            if types[c].typeName() in ("integer", "long", "short", "byte") and value is not None:
+                value = int(value)
+        else:
+            value = r["m"]["vs"]
+        out[c] = value
     return out
 
 
@@ -279,12 +282,14 @@ def fit_target_encoding(
     stats = stats.withColumn("mean", F.try_divide(F.col("s").cast("double"), F.col("n"))).drop("s")
     if materialize:
         stats = cut_lineage(stats)
-    g_row = stats.where(F.col("column") == "__all__").select("mean").first()
-    g = None if g_row is None else g_row[0]
+    # one small job: the global mean and the number of keys per column
+    summary = stats.groupBy("column").agg(
+        F.count_if(F.col("key").isNotNull()).alias("k"), F.max("mean").alias("m")).collect()
+    g = next((r["m"] for r in summary if r["column"] == "__all__"), None)
+    sizes = {r["column"]: r["k"] for r in summary if r["column"] != "__all__"}
     table = stats.where((F.col("column") != "__all__") & F.col("key").isNotNull())
     te = (F.col("n") * F.col("mean") + F.lit(alpha) * F.lit(g)) / (F.col("n") + F.lit(alpha))
     table = table.withColumn("te", te if g is not None else F.lit(None).cast("double"))
-    sizes = {r["column"]: r["k"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
     return TargetEncoding(table, g, cols, alpha, suffix, sizes)
 
 
