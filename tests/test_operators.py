@@ -177,3 +177,12 @@ def test_te_lies_between_group_and_global_mean(spark, rows):
     for r in enc.table.collect():
         lo, hi = min(r.mean, g), max(r.mean, g)
         assert lo - 1e-9 <= r.te <= hi + 1e-9
+
+
+def test_exact_median_fused_path_matches_numpy(spark):
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=30000).round(4)          # many ties after rounding
+    b = rng.integers(0, 5, size=30000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(5)
+    got = fitting.exact_medians(df, ["a", "b"])
+    assert got == {"a": float(np.median(a)), "b": float(np.median(b))}
