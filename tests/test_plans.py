@@ -42,3 +42,12 @@ def test_stage3_transform_does_not_shuffle_rows(spark):
     # input is the checkpointed split frame; every fitted table is broadcast
     assert "SortMergeJoin" not in p and "Exchange hashpartitioning" not in p
     assert p.count("BroadcastHashJoin") == 4
+
+
+def test_no_cartesian_or_nested_loop_join_anywhere(spark):
+    import __spark_entry__ as entry
+    for name in sorted(entry.oracle_sql()):
+        df = entry.queries()[name](spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        p = plan(df)
+        assert "NestedLoop" not in p and "Cartesian" not in p and "EvalPython" not in p, name
