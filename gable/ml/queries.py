@@ -130,3 +130,13 @@ def q_lr_coefficients(spark, d):
     train, _, _ = MF.median_impute(frame.where(F.col("split") == "train"), [], feats)
     model = models.make_regressor("linear").fit(MF.assemble(train, feats, "price").df)
     return metrics.top_k(models.importance_table(model, feats), "coefficient", 20, by_abs=True)
+
+
+@register("param_search_mae")
+def q_param_search_mae(spark, d):
+    """M8, segment variant: one segment's rows, objective = validation MAE."""
+    frame, feats = model_frame(spark, d)
+    seg = frame.where(F.col("c_mktsegment") == "HOUSEHOLD")
+    space = {"maxDepth": (2, 5, "int"), "stepSize": (0.05, 0.3, "log"), "maxIter": (5, 15, "int")}
+    return search.param_search(seg.where(F.col("split") == "train"), seg.where(F.col("split") == "val"),
+                               feats, "price", "xgb", space, n_trials=4, criterion="mae")

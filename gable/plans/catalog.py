@@ -913,3 +913,18 @@ def q_prediction_range(spark, d):
     return _line_preds(spark, d).groupBy("split").agg(
         F.min("y").alias("y_min"), F.max("y").alias("y_max"), F.min("p_a").alias("p_min"),
         F.max("p_a").alias("p_max"), F.min(r).alias("r_min"), F.max(r).alias("r_max"))
+
+
+@register("ensemble_weights_mae", "WITH " + _PRED_SQL + """,
+w AS (SELECT i, i / 20.0 AS w FROM range(21) t(i)),
+e AS (SELECT w.i, w.w, p.split, p.y, p.y - (w.w * p.p_a + (1.0 - w.w) * p.p_b) AS e FROM preds p CROSS JOIN w),
+a AS (SELECT i, w, AVG(CASE WHEN split = 'val' THEN abs(e) END) AS val_mae FROM e GROUP BY i, w)
+SELECT CAST(i AS INTEGER) AS i, w, round(val_mae, 4) AS val_mae,
+       CAST(i = (SELECT arg_min(i, (val_mae, i)) FROM a) AS INTEGER) AS is_best
+FROM a
+""")
+def q_ensemble_weights_mae(spark, d):
+    """M10 + H4, segment-script criterion: the weight with the lowest
+    validation MAE (first weight on ties)."""
+    t = metrics.ensemble_weight_search(_line_preds(spark, d), "y", "p_a", "p_b", criterion="mae")
+    return t.select("i", "w", F.round("val_mae", 4).alias("val_mae"), "is_best")
