@@ -83,10 +83,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     w.save(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Re-scan a written stage with its stored schema (no re-inference,
-    so ``postal_code`` keeps its type between stages)."""
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", infer: bool = False) -> DataFrame:
+    """Re-scan a written stage. Parquet keeps its stored schema (no
+    re-inference, so ``postal_code`` keeps its type between stages); CSV is
+    read with its header, as text unless ``infer`` asks for the extra
+    inference pass the source relied on."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("inferSchema", infer)
+    return reader.load(path)
 
 
 def stage_audit(stages: Mapping[str, DataFrame]) -> DataFrame:

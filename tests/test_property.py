@@ -155,3 +155,10 @@ def test_familiar_entry_points(spark, paths, lookups):
     assert m.df.count() == 7
     one = api.stage3_pipeline(s25)
     assert "postal_price_mean" in one.columns
+
+
+def test_export_as_csv(spark, raw, lookups, tmp_path):
+    audit = prop.export(raw, lookups, str(tmp_path / "export_csv"), fmt="csv")
+    assert {r.stage: r.n_rows for r in audit.collect()}["stage2_5"] == 7
+    back = spark.read.option("header", True).csv(str(tmp_path / "export_csv"))
+    assert back.count() == 7 and "median_income" in back.columns
