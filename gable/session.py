@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,9 +69,31 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique sub-path of the checkpoint root for a written table/model."""
+    """A unique sub-path of the checkpoint root for a written table/model.
+
+    The name carries the application id and a random part, so two
+    applications that share the root (driver pids repeat in containers)
+    never write to the same path.
+    """
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{os.getpid()}-{next(_counter)}"
+    path = f"{root}/{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    _own_paths.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables and models this driver process has written.
+
+    Frames that still read them become invalid, so call it at the end of a
+    run. Returns the number of paths removed; paths of other applications
+    are never touched.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _own_paths:
+        path = jvm.org.apache.hadoop.fs.Path(_own_paths.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def cut_lineage(df: DataFrame, columnar: bool = False) -> DataFrame:
@@ -95,11 +117,5 @@ def cut_lineage(df: DataFrame, columnar: bool = False) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+# scratch paths written by this process, for drop_scratch
+_own_paths: list[str] = []
