@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from gable.llm import decontamination, language_id, mixing, sharding, token_files, warc
+from gable.llm import decontamination, language_id, mixing, quality_rules, secret_scan, sharding, token_files, toxicity, warc
 from gable.llm.common import Query
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": decontamination.query,
     "op2_sharding": sharding.query,
     "op3_mixing": mixing.query,
+    "op4_toxicity": toxicity.query,
+    "op6_secret_scan": secret_scan.query,
     "op7_token_files": token_files.query,
     "op8_warc_bundles": warc.query,
     "op9_language_id": language_id.query,
+    "op10_quality_rules": quality_rules.query,
 }
 ORACLE: dict[str, str] = {
     "op1_decontamination": decontamination.SQL.strip(),
