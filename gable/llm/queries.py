@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from gable.llm import decontamination, language_id, mixing, quality_rules, secret_scan, sharding, token_files, toxicity, warc
+import corpus_pipeline
+from gable.llm import decontamination, language_id, mixing, ngram_join, quality_rules, secret_scan, sharding, token_files, toxicity, warc
 from gable.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -10,11 +11,13 @@ QUERIES: dict[str, Query] = {
     "op2_sharding": sharding.query,
     "op3_mixing": mixing.query,
     "op4_toxicity": toxicity.query,
+    "op5_ngram_join": ngram_join.query,
     "op6_secret_scan": secret_scan.query,
     "op7_token_files": token_files.query,
     "op8_warc_bundles": warc.query,
     "op9_language_id": language_id.query,
     "op10_quality_rules": quality_rules.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op1_decontamination": decontamination.SQL.strip(),
