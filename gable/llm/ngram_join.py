@@ -212,13 +212,15 @@ def _group_tiles(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.R
 
 # --- step 3: checks --------------------------------------------------------
 
-def links_in(classes: np.ndarray, sets: list[np.ndarray], left: int, num: int, den: int) -> list[tuple[int, int]]:
+def links_in(classes: np.ndarray, sets: list[np.ndarray], joined: np.ndarray, left: int, num: int, den: int,
+             ) -> list[tuple[int, int]]:
     """Links that connect the classes of one tile: of the first ``left`` with
-    each other and with the rest (all, where left is the number of classes)."""
+    each other and with the rest (all, where left is the number of classes).
+    Classes of equal ``joined`` are connected already."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     longs = 1 << max(3, int(max(sizes) * 2 // 64).bit_length())
     maps = np.vstack([bitmap(s, min(longs, 128)) for s in sets]).view(np.uint64)
-    root = np.arange(len(sets))
+    root = np.unique(joined, return_inverse=True)[1]
     out = []
     for i in range(left):
         j = np.arange(i + 1, len(sets))
@@ -273,7 +275,12 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
 
     classes = rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *[F.first(b).alias(b) for b in _BITMAP])
-    pairs = found.where("b is not null").select("a", "b").distinct()
+    members = found.where("member is not null").select("tile", F.col("a").alias("class"), "member")
+    pivots = F.array(F.min("class"), *[F.min_by("class", F.xxhash64("class", F.lit(k))) for k in range(2)])
+    heads = members.groupBy("tile").agg(F.array_distinct(pivots).alias("pivots"))
+    to_pivots = members.join(heads, "tile").select("class", F.explode("pivots").alias("pivot")).where("class != pivot").select(
+        F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
+    pairs = found.where("b is not null").select("a", "b").union(to_pivots).distinct()
     x, y = (classes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("class", "n", *_BITMAP)]) for side in "xy")
     differ = sum((F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in _BITMAP), F.lit(0)).cast("long")
     both = F.col("x_n") + F.col("y_n")
@@ -281,27 +288,39 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         F.least("x_n", "y_n") * den >= F.greatest("x_n", "y_n") * num)
     pairs = materialise(pairs.join(x, F.col("a") == F.col("x_class")).join(y, F.col("b") == F.col("y_class"))
                         .where(close).select("a", "b"))
-    members = found.where("member is not null").select("tile", F.col("a").alias("class"), "member")
 
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class")).distinct()
     arrays = materialise(_element_arrays(texts, wanted.join(classes.select("class", "doc_id"), "class"), n))
     x, y = (arrays.select(F.col("class").alias(c), F.col("elements").alias(e)) for c, e in (("a", "x"), ("b", "y")))
     links = pairs.join(x, "a").join(y, "b").mapInArrow(_check_pairs(num, den), "a long, b long")
 
-    # larger tiles: every pair of blocks is a task of at most two blocks
-    last = members.groupBy("tile").agg(F.floor(F.max("member") / block).cast("int").alias("last"))
+    joined = components(links)
+
+    # larger tiles that the pivots left open: every pair of blocks is a task of at most two blocks
+    told = members.join(joined, F.col("class") == F.col("node"), "left").select(
+        "tile", "class", "member", F.coalesce("component", "class").alias("joined"))
+    told = materialise(told)
+    open_tiles = (told.groupBy("tile").agg(F.min("joined").alias("least"), F.max("joined").alias("most"),
+                                           F.max("member").alias("last"),
+                                           F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("all_of_them"))
+                  .where("least < most").groupBy("all_of_them", "last").agg(F.min("tile").alias("tile"))
+                  .select("tile", F.floor(F.col("last") / block).cast("int").alias("last")))
     own = F.floor(F.col("member") / block).cast("int")
-    placed = members.join(last, "tile").select("tile", "class", own.alias("own"), F.explode(F.sequence(F.lit(0), "last")).alias("other"))
-    placed = placed.select("tile", "class", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    placed = told.join(open_tiles, "tile").select(
+        "tile", "class", "joined", own.alias("own"), F.explode(F.sequence(F.lit(0), "last")).alias("other"))
+    placed = placed.select("tile", "class", "joined", "own", F.least("own", "other").alias("i"),
+                           F.greatest("own", "other").alias("j"))
 
     def check_tile(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["own", "class"], ignore_index=True)
         sets = [np.frombuffer(e, "<u8") for e in part["elements"]]
         left = int((part["own"] == part["i"]).sum())
-        return pd.DataFrame(links_in(part["class"].to_numpy(), sets, left, num, den), columns=["a", "b"]).astype("int64")
+        found = links_in(part["class"].to_numpy(), sets, part["joined"].to_numpy(), left, num, den)
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    large = placed.join(arrays, "class").groupBy("tile", "i", "j").applyInPandas(check_tile, "a long, b long")
-    joined = components(links.union(large))
+    late = materialise(placed.join(arrays, "class").groupBy("tile", "i", "j").applyInPandas(check_tile, "a long, b long"))
+    if late.take(1):
+        joined = components(late.union(joined.select("node", "component")))
 
     # a component's name: the least document id of its classes
     named = classes.select("class", "doc_id").join(joined, F.col("class") == F.col("node"), "left").select(
