@@ -11,14 +11,17 @@
    a passage shared by many texts makes no large tile: a part mixes it with
    the rest of its text. (A part without elements names no tile, unless a set
    has three or more of them; then those name tiles too.)
-3. Inside a tile, sizes and bitmaps of hashed elements bound the overlap from
-   above (every bit in which two bitmaps differ is an element only one set
-   has); pairs that may reach the threshold are checked by intersecting the
-   sorted arrays. Small tiles send each distinct pair once to a bitmap check and
-   an array check on shuffled rows. Tiles beyond ``small_tile`` classes are cut
-   into blocks, and each pair of blocks is one task's tile, where only links
-   that connect classes not yet connected are returned: no tile returns
-   more links than it has members, whatever its number of close pairs.
+3. Sizes and bitmaps of hashed elements (2 to 4 bits an element) bound the
+   overlap of two sets from above: every bit in which two bitmaps differ is an
+   element only one set has. Pairs that may reach the threshold are checked by
+   intersecting the sorted arrays. Small tiles send each distinct pair once
+   through both checks; of a tile beyond ``small_tile`` classes only the pairs
+   with a few pivots go that way. Larger tiles whose classes are then in one
+   component are done. Open ones that share members are joined to one group if
+   that makes fewer comparisons (copies of one text share most tiles); groups
+   are cut into blocks, and each pair of blocks is one task's work, which
+   bounds by bitmaps, intersects arrays, and skips pairs already connected: it
+   returns no more links than it has members, however many pairs are close.
 4. Components of the links, by :mod:`components`.
 
 Defined results: null text and text without words have an empty set, link
@@ -43,8 +46,7 @@ from gable.llm.common import materialise, runs, table
 from gable.llm.components import components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_GROWTH, _SPARE, _WORDS = 1.6, 3, 8  # band growth, spare parts, longs of a bitmap
-_BITMAP = [f"b{k}" for k in range(_WORDS)]
+_GROWTH, _SPARE = 1.6, 3  # band growth, spare parts
 
 
 class WordHashes(dict):
@@ -118,10 +120,21 @@ class Bands:
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def bitmap(elements: np.ndarray, longs: int) -> np.ndarray:
-    bits = np.zeros(64 * longs, dtype=np.uint8)
-    bits[(elements & np.uint64(64 * longs - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.int64)
+def bitmap(elements: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """Bytes of a power of two of bits, 2 to 4 an element and 256 at least."""
+    bits = bits or max(256, 1 << (2 * len(elements) - 1).bit_length())
+    flags = np.zeros(bits, dtype=np.uint8)
+    flags[(elements & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little")
+
+
+def differing_bits(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two bitmaps differ; the longer is folded to the shorter."""
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
 
 
 def class_of(elements: np.ndarray) -> int:
@@ -131,12 +144,12 @@ def class_of(elements: np.ndarray) -> int:
 # --- step 1 and 2: sets, classes, tiles ------------------------------------
 
 def _profile(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """doc_id, n_shingles, class, bitmap longs, tiles of every row.
+    """doc_id, n_shingles, class, bitmap and tiles of every row.
 
-    A class's tiles are listed by the first of its rows in a task, so copies
-    of a text cost one list a task.
+    Bitmap and tiles of a class stand at the first of its rows in a task, so
+    copies of a text cost one list a task.
     """
-    schema = "doc_id long, n_shingles long, class long, " + ", ".join(f"{b} long" for b in _BITMAP) + ", tiles array<long>"
+    schema = "doc_id long, n_shingles long, class long, bits binary, tiles array<long>"
 
     def profile(batches):
         known, seen = WordHashes(), set()
@@ -146,15 +159,16 @@ def _profile(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
             for a, b in runs(sizes, 1 << 21):
                 sets = shingle_sets(texts.slice(a, b - a).to_pylist(), n, known)
                 classes = [class_of(s) if len(s) else None for s in sets]
-                tiles = []
+                tiles, maps = [], []
                 for s, c in zip(sets, classes):
-                    tiles.append(None if c is None or c in seen else bands.tiles(s).view(np.int64))
+                    new = c is not None and c not in seen
+                    tiles.append(bands.tiles(s).view(np.int64) if new else None)
+                    maps.append(bitmap(s).tobytes() if new else None)
                     seen.add(c)
-                maps = np.vstack([bitmap(s, _WORDS) for s in sets])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(classes, pa.int64()), *[pa.array(maps[:, k]) for k in range(_WORDS)],
-                     pa.array(tiles, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "class", *_BITMAP, "tiles"])
+                     pa.array(classes, pa.int64()), pa.array(maps, pa.binary()), pa.array(tiles, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "class", "bits", "tiles"])
 
     return docs.mapInArrow(profile, schema)
 
@@ -218,8 +232,8 @@ def links_in(classes: np.ndarray, sets: list[np.ndarray], joined: np.ndarray, le
     each other and with the rest (all, where left is the number of classes).
     Classes of equal ``joined`` are connected already."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    longs = 1 << max(3, int(max(sizes) * 2 // 64).bit_length())
-    maps = np.vstack([bitmap(s, min(longs, 128)) for s in sets]).view(np.uint64)
+    bits = min(1 << 14, max(256, 1 << int(4 * sizes.max() - 1).bit_length()))
+    maps = np.vstack([bitmap(s, bits) for s in sets]).view(np.uint64)
     root = np.unique(joined, return_inverse=True)[1]
     out = []
     for i in range(left):
@@ -236,7 +250,20 @@ def links_in(classes: np.ndarray, sets: list[np.ndarray], joined: np.ndarray, le
     return out
 
 
+def _may_link(num: int, den: int):
+    """Pairs (a, b, xn, yn, x, y: bitmaps) whose bound reaches the threshold."""
+    def bound(batches):
+        for batch in batches:
+            cols = (batch.column(c).to_pylist() for c in ("xn", "yn", "x", "y"))
+            ok = [(xn + yn - differing_bits(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))) * (den + num)
+                  >= 2 * num * (xn + yn) for xn, yn, x, y in zip(*cols)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return bound
+
+
 def _check_pairs(num: int, den: int):
+    """Pairs (a, b, x, y: elements) that reach the threshold."""
     def check(batches):
         for batch in batches:
             ok = []
@@ -248,8 +275,12 @@ def _check_pairs(num: int, den: int):
     return check
 
 
-def _element_arrays(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(class, elements) of the wanted (doc_id, class), from the texts again."""
+def _element_arrays(docs: DataFrame, wanted: DataFrame, n: int, broadcast_rows: int = 500_000) -> DataFrame:
+    """(class, elements) of the wanted (doc_id, class), from the texts again.
+
+    Up to ``broadcast_rows`` wanted ids (16 bytes each) are broadcast, so the
+    texts are not shuffled; beyond that both sides are.
+    """
     def arrays(batches):
         known = WordHashes()
         for batch in batches:
@@ -259,8 +290,41 @@ def _element_arrays(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 "class": batch.column("class").filter(pa.array(ok, pa.bool_())),
                 "elements": pa.array([s.tobytes() for s, good in zip(sets, ok) if good], pa.binary())})
 
-    return docs.join(wanted, "doc_id").select("text", "class").mapInArrow(
-        arrays, "class long, elements binary").dropDuplicates(["class"])
+    wanted = materialise(wanted)
+    few = wanted.count() <= broadcast_rows
+    rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "class")
+    found = materialise(rows.mapInArrow(arrays, "class long, elements binary"))
+    if found.count() > found.select("class").distinct().count():  # repeated ids
+        found = materialise(found.dropDuplicates(["class"]))
+    return found
+
+
+def _open_groups(told: DataFrame) -> DataFrame:
+    """(group, class, joined, member, last) of larger tiles with more than one component.
+
+    ``told`` has tile, class, member, joined. Tiles that share members become
+    one group where its square is no more than the squares of its tiles.
+    """
+    tiles = materialise(told.groupBy("tile").agg(F.min("joined").alias("least"), F.max("joined").alias("most"),
+                                                 F.min("class").alias("head"), F.max("member").alias("last"))
+                        .where("least < most").select("tile", "head", "last"))
+    inside = materialise(told.join(tiles, "tile"))
+    if not inside.take(1):
+        return inside.select(F.col("tile").alias("group"), "class", "joined", "member", "last")
+    near = components(inside.select("class", "head")).select(F.col("node").alias("of"), "component")
+    cost = tiles.join(near, F.col("head") == F.col("of")).groupBy("component").agg(
+        F.sum((F.col("last") + 1.0) * (F.col("last") + 1.0)).alias("by_tile"))
+    classes = inside.join(near, F.col("class") == F.col("of")).select("class", "joined", "component").distinct()
+    size = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    kind = materialise(cost.join(size, "component").select(
+        "component", "n", (F.col("n") * F.col("n") <= F.col("by_tile")).alias("whole")))
+    # a member's block is its number in a tile, or a hash in a joined group
+    joint = classes.join(kind.where("whole"), "component").select(
+        F.col("component").alias("group"), "class", "joined",
+        F.pmod(F.xxhash64("class"), F.col("n")).alias("member"), (F.col("n") - 1).alias("last"))
+    rest = (inside.join(near, F.col("class") == F.col("of")).join(kind.where("not whole"), "component")
+            .select(F.col("tile").alias("group"), "class", "joined", "member", "last"))
+    return joint.union(rest)
 
 
 def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
@@ -274,41 +338,32 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     found = materialise(dealt.mapInArrow(lambda b: _group_tiles(b, small_tile), "tile long, a long, b long, member long"))
 
     classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *[F.first(b).alias(b) for b in _BITMAP])
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    maps = rows.where("bits is not null").groupBy("class").agg(F.max("n_shingles").alias("n"), F.first("bits").alias("bits"))
     members = found.where("member is not null").select("tile", F.col("a").alias("class"), "member")
     pivots = F.array(F.min("class"), *[F.min_by("class", F.xxhash64("class", F.lit(k))) for k in range(2)])
     heads = members.groupBy("tile").agg(F.array_distinct(pivots).alias("pivots"))
     to_pivots = members.join(heads, "tile").select("class", F.explode("pivots").alias("pivot")).where("class != pivot").select(
         F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
     pairs = found.where("b is not null").select("a", "b").union(to_pivots).distinct()
-    x, y = (classes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("class", "n", *_BITMAP)]) for side in "xy")
-    differ = sum((F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in _BITMAP), F.lit(0)).cast("long")
-    both = F.col("x_n") + F.col("y_n")
-    close = ((both - differ) * (den + num) >= 2 * num * both) & (
-        F.least("x_n", "y_n") * den >= F.greatest("x_n", "y_n") * num)
-    pairs = materialise(pairs.join(x, F.col("a") == F.col("x_class")).join(y, F.col("b") == F.col("y_class"))
-                        .where(close).select("a", "b"))
+    x = maps.select(F.col("class").alias("a"), F.col("n").alias("xn"), F.col("bits").alias("x"))
+    y = maps.select(F.col("class").alias("b"), F.col("n").alias("yn"), F.col("bits").alias("y"))
+    alike = F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num
+    pairs = materialise(pairs.join(x, "a").join(y, "b").where(alike).mapInArrow(_may_link(num, den), "a long, b long"))
 
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class")).distinct()
-    arrays = materialise(_element_arrays(texts, wanted.join(classes.select("class", "doc_id"), "class"), n))
+    arrays = _element_arrays(texts, wanted.join(classes, "class").select("class", "doc_id"), n)
     x, y = (arrays.select(F.col("class").alias(c), F.col("elements").alias(e)) for c, e in (("a", "x"), ("b", "y")))
     links = pairs.join(x, "a").join(y, "b").mapInArrow(_check_pairs(num, den), "a long, b long")
-
     joined = components(links)
 
-    # larger tiles that the pivots left open: every pair of blocks is a task of at most two blocks
-    told = members.join(joined, F.col("class") == F.col("node"), "left").select(
-        "tile", "class", "member", F.coalesce("component", "class").alias("joined"))
-    told = materialise(told)
-    open_tiles = (told.groupBy("tile").agg(F.min("joined").alias("least"), F.max("joined").alias("most"),
-                                           F.max("member").alias("last"),
-                                           F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("all_of_them"))
-                  .where("least < most").groupBy("all_of_them", "last").agg(F.min("tile").alias("tile"))
-                  .select("tile", F.floor(F.col("last") / block).cast("int").alias("last")))
+    # larger tiles that the pivots left open: every pair of blocks is one task's work
+    told = materialise(members.join(joined, F.col("class") == F.col("node"), "left").select(
+        "tile", "class", "member", F.coalesce("component", "class").alias("joined")))
     own = F.floor(F.col("member") / block).cast("int")
-    placed = told.join(open_tiles, "tile").select(
-        "tile", "class", "joined", own.alias("own"), F.explode(F.sequence(F.lit(0), "last")).alias("other"))
-    placed = placed.select("tile", "class", "joined", "own", F.least("own", "other").alias("i"),
+    placed = _open_groups(told).select(
+        "group", "class", "joined", own.alias("own"), F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / block).cast("int"))).alias("other"))
+    placed = placed.select("group", "class", "joined", "own", F.least("own", "other").alias("i"),
                            F.greatest("own", "other").alias("j"))
 
     def check_tile(part: pd.DataFrame) -> pd.DataFrame:
@@ -318,7 +373,7 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         found = links_in(part["class"].to_numpy(), sets, part["joined"].to_numpy(), left, num, den)
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    late = materialise(placed.join(arrays, "class").groupBy("tile", "i", "j").applyInPandas(check_tile, "a long, b long"))
+    late = materialise(placed.join(arrays, "class").groupBy("group", "i", "j").applyInPandas(check_tile, "a long, b long"))
     if late.take(1):
         joined = components(late.union(joined.select("node", "component")))
 
