@@ -19,9 +19,9 @@
    with a few pivots go that way. Larger tiles whose classes are then in one
    component are done. Open ones that share members are joined to one group if
    that makes fewer comparisons (copies of one text share most tiles); groups
-   are cut into blocks, and each pair of blocks is one task's work, which
-   bounds by bitmaps, intersects arrays, and skips pairs already connected: it
-   returns no more links than it has members, however many pairs are close.
+   are cut into blocks, and each pair of blocks is one task's work: it compares
+   bitmaps, and only pairs that pass the bound and are not connected yet go on
+   to the arrays.
 4. Components of the links, by :mod:`components`.
 
 Defined results: null text and text without words have an empty set, link
@@ -226,28 +226,22 @@ def _group_tiles(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.R
 
 # --- step 3: checks --------------------------------------------------------
 
-def links_in(classes: np.ndarray, sets: list[np.ndarray], joined: np.ndarray, left: int, num: int, den: int,
-             ) -> list[tuple[int, int]]:
-    """Links that connect the classes of one tile: of the first ``left`` with
-    each other and with the rest (all, where left is the number of classes).
-    Classes of equal ``joined`` are connected already."""
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    bits = min(1 << 14, max(256, 1 << int(4 * sizes.max() - 1).bit_length()))
-    maps = np.vstack([bitmap(s, bits) for s in sets]).view(np.uint64)
-    root = np.unique(joined, return_inverse=True)[1]
-    out = []
-    for i in range(left):
-        j = np.arange(i + 1, len(sets))
-        both = sizes[i] + sizes[j]
-        differ = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
-        may = ((both - differ) * (den + num) >= 2 * num * both) & (root[j] != root[i])
-        for k in j[may]:
-            if root[k] != root[i]:
-                shared = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
-                if shared * (den + num) >= num * (sizes[i] + sizes[k]):
-                    out.append((int(classes[i]), int(classes[k])))
-                    root[root == root[k]] = root[i]
-    return out
+def close_pairs(classes: np.ndarray, sizes: np.ndarray, maps: list[bytes], joined: np.ndarray, left: int, num: int,
+                den: int) -> Iterator[np.ndarray]:
+    """(a, b) rows of pairs of one tile whose bound reaches the threshold: of the
+    first ``left`` classes with each other and with the rest (all, where left
+    is the number of classes). Classes of equal ``joined`` are connected."""
+    # fold all bitmaps to the shortest: sets that can link have much the same size
+    length = min(map(len, maps))
+    rows = np.vstack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, length // 8)) for m in maps])
+    for i in range(min(left, len(rows) - 1)):
+        both = sizes[i] + sizes[i + 1:]
+        differ = np.bitwise_count(rows[i] ^ rows[i + 1:]).sum(axis=1, dtype=np.int64)
+        ok = (joined[i + 1:] != joined[i]) & ((both - differ) * (den + num) >= 2 * num * both) & (
+            np.minimum(sizes[i], sizes[i + 1:]) * den >= np.maximum(sizes[i], sizes[i + 1:]) * num)
+        if ok.any():
+            other = classes[i + 1:][ok]
+            yield np.column_stack([np.minimum(classes[i], other), np.maximum(classes[i], other)])
 
 
 def _may_link(num: int, den: int):
@@ -351,11 +345,14 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     alike = F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num
     pairs = materialise(pairs.join(x, "a").join(y, "b").where(alike).mapInArrow(_may_link(num, den), "a long, b long"))
 
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(members.select("class")).distinct()
-    arrays = _element_arrays(texts, wanted.join(classes, "class").select("class", "doc_id"), n)
-    x, y = (arrays.select(F.col("class").alias(c), F.col("elements").alias(e)) for c, e in (("a", "x"), ("b", "y")))
-    links = pairs.join(x, "a").join(y, "b").mapInArrow(_check_pairs(num, den), "a long, b long")
-    joined = components(links)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+        arrays = _element_arrays(texts, wanted.join(classes, "class").select("class", "doc_id"), n)
+        x, y = (arrays.select(F.col("class").alias(c), F.col("elements").alias(e)) for c, e in (("a", "x"), ("b", "y")))
+        return pairs.join(x, "a").join(y, "b").mapInArrow(_check_pairs(num, den), "a long, b long")
+
+    joined = components(linked(pairs))
 
     # larger tiles that the pivots left open: every pair of blocks is one task's work
     told = materialise(members.join(joined, F.col("class") == F.col("node"), "left").select(
@@ -366,16 +363,17 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     placed = placed.select("group", "class", "joined", "own", F.least("own", "other").alias("i"),
                            F.greatest("own", "other").alias("j"))
 
-    def check_tile(part: pd.DataFrame) -> pd.DataFrame:
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["own", "class"], ignore_index=True)
-        sets = [np.frombuffer(e, "<u8") for e in part["elements"]]
         left = int((part["own"] == part["i"]).sum())
-        found = links_in(part["class"].to_numpy(), sets, part["joined"].to_numpy(), left, num, den)
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        found = list(close_pairs(part["class"].to_numpy(), part["n"].to_numpy(), part["bits"].tolist(),
+                                 part["joined"].to_numpy(), left, num, den))
+        return pd.DataFrame(np.vstack(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
 
-    late = materialise(placed.join(arrays, "class").groupBy("group", "i", "j").applyInPandas(check_tile, "a long, b long"))
+    late = materialise(placed.join(maps, "class").groupBy("group", "i", "j").applyInPandas(compare, "a long, b long")
+                       .distinct().join(pairs, ["a", "b"], "left_anti"))
     if late.take(1):
-        joined = components(late.union(joined.select("node", "component")))
+        joined = components(linked(late).union(joined.select("node", "component")))
 
     # a component's name: the least document id of its classes
     named = classes.select("class", "doc_id").join(joined, F.col("class") == F.col("node"), "left").select(
