@@ -226,18 +226,27 @@ def _group_tiles(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.R
 
 # --- step 3: checks --------------------------------------------------------
 
-def close_pairs(classes: np.ndarray, sizes: np.ndarray, maps: list[bytes], joined: np.ndarray, left: int, num: int,
-                den: int) -> Iterator[np.ndarray]:
+def close_pairs(classes: np.ndarray, sizes: np.ndarray, maps: list[bytes], joined: np.ndarray, earlier: list,
+                left: int, num: int, den: int) -> Iterator[np.ndarray]:
     """(a, b) rows of pairs of one tile whose bound reaches the threshold: of the
     first ``left`` classes with each other and with the rest (all, where left
-    is the number of classes). Classes of equal ``joined`` are connected."""
+    is the number of classes). Classes of equal ``joined`` are connected;
+    classes that share one of the ``earlier`` tiles are compared there."""
     # fold all bitmaps to the shortest: sets that can link have much the same size
     length = min(map(len, maps))
     rows = np.vstack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, length // 8)) for m in maps])
+    places: dict[int, int] = {}
+    for tiles in earlier:
+        for t in tiles:
+            places.setdefault(t, len(places))
+    shared = np.zeros((len(rows), -(-max(1, len(places)) // 64) * 64), dtype=np.uint8)
+    for k, tiles in enumerate(earlier):
+        shared[k, [places[t] for t in tiles]] = 1
+    shared = np.packbits(shared, axis=1).view(np.uint64)
     for i in range(min(left, len(rows) - 1)):
         both = sizes[i] + sizes[i + 1:]
         differ = np.bitwise_count(rows[i] ^ rows[i + 1:]).sum(axis=1, dtype=np.int64)
-        ok = (joined[i + 1:] != joined[i]) & ((both - differ) * (den + num) >= 2 * num * both) & (
+        ok = ~(shared[i] & shared[i + 1:]).any(axis=1) & (joined[i + 1:] != joined[i]) & ((both - differ) * (den + num) >= 2 * num * both) & (
             np.minimum(sizes[i], sizes[i + 1:]) * den >= np.maximum(sizes[i], sizes[i + 1:]) * num)
         if ok.any():
             other = classes[i + 1:][ok]
@@ -294,7 +303,7 @@ def _element_arrays(docs: DataFrame, wanted: DataFrame, n: int, broadcast_rows:
 
 
 def _open_groups(told: DataFrame) -> DataFrame:
-    """(group, class, joined, member, last) of larger tiles with more than one component.
+    """(group, class, joined, member, last, tiles) of larger tiles with more than one component.
 
     ``told`` has tile, class, member, joined. Tiles that share members become
     one group where its square is no more than the squares of its tiles.
@@ -304,7 +313,8 @@ def _open_groups(told: DataFrame) -> DataFrame:
                         .where("least < most").select("tile", "head", "last"))
     inside = materialise(told.join(tiles, "tile"))
     if not inside.take(1):
-        return inside.select(F.col("tile").alias("group"), "class", "joined", "member", "last")
+        return inside.select(F.col("tile").alias("group"), "class", "joined", "member", "last",
+                             F.array("tile").alias("tiles"))
     near = components(inside.select("class", "head")).select(F.col("node").alias("of"), "component")
     cost = tiles.join(near, F.col("head") == F.col("of")).groupBy("component").agg(
         F.sum((F.col("last") + 1.0) * (F.col("last") + 1.0)).alias("by_tile"))
@@ -315,14 +325,19 @@ def _open_groups(told: DataFrame) -> DataFrame:
     # a member's block is its number in a tile, or a hash in a joined group
     joint = classes.join(kind.where("whole"), "component").select(
         F.col("component").alias("group"), "class", "joined",
-        F.pmod(F.xxhash64("class"), F.col("n")).alias("member"), (F.col("n") - 1).alias("last"))
+        F.pmod(F.xxhash64("class"), F.col("n")).alias("member"), (F.col("n") - 1).alias("last"),
+        F.array().cast("array<bigint>").alias("tiles"))
+    # a class's open tiles are fewer than its parts; of two classes' common ones the first compares them
+    lists = inside.groupBy(F.col("class").alias("in_tiles")).agg(F.array_sort(F.collect_list("tile")).alias("tiles"))
     rest = (inside.join(near, F.col("class") == F.col("of")).join(kind.where("not whole"), "component")
-            .select(F.col("tile").alias("group"), "class", "joined", "member", "last"))
+            .join(lists, F.col("class") == F.col("in_tiles"))
+            .select(F.col("tile").alias("group"), "class", "joined", "member", "last",
+                    F.filter("tiles", lambda t: t < F.col("tile")).alias("tiles")))
     return joint.union(rest)
 
 
 def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text", small_tile: int = 16, block: int = 256) -> DataFrame:
+                       text_col: str = "text", small_tile: int = 6, block: int = 256) -> DataFrame:
     """doc_id, n_shingles, class, component_id of every document."""
     bands = Bands(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -359,15 +374,15 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
         "tile", "class", "member", F.coalesce("component", "class").alias("joined")))
     own = F.floor(F.col("member") / block).cast("int")
     placed = _open_groups(told).select(
-        "group", "class", "joined", own.alias("own"), F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / block).cast("int"))).alias("other"))
-    placed = placed.select("group", "class", "joined", "own", F.least("own", "other").alias("i"),
+        "group", "class", "joined", "tiles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / block).cast("int"))).alias("other"))
+    placed = placed.select("group", "class", "joined", "tiles", "own", F.least("own", "other").alias("i"),
                            F.greatest("own", "other").alias("j"))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["own", "class"], ignore_index=True)
         left = int((part["own"] == part["i"]).sum())
         found = list(close_pairs(part["class"].to_numpy(), part["n"].to_numpy(), part["bits"].tolist(),
-                                 part["joined"].to_numpy(), left, num, den))
+                                 part["joined"].to_numpy(), part["tiles"].tolist(), left, num, den))
         return pd.DataFrame(np.vstack(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
 
     late = materialise(placed.join(maps, "class").groupBy("group", "i", "j").applyInPandas(compare, "a long, b long")
