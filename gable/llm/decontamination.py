@@ -140,7 +140,7 @@ def scan_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", it
         "items", F.lit(None).cast("array<string>"))
     for k in range(blocks):
         block = windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
-        index = Shared(spark, WindowIndex((r.window, r["items"]) for r in block.toLocalIterator()))
+        index = Shared(spark, WindowIndex((r.window, r["items"]) for r in block.collect()))
         hit = _scanner(index)(F.col(f"row.`{text_col}`").cast("string"))
         rows = rows.select("row", hit.alias("hit"), F.col("spans").alias("old"), F.col("items").alias("had"))
         if blocks == 1:

@@ -67,7 +67,7 @@ def find_splitters(rows: DataFrame, targets: list[tuple[float, float]], total: i
             F.shiftright("key", shift).isin([k >> shift for k in spans]))
         bins: dict[int, list[tuple[int, int, int]]] = {}
         for r in part.groupBy(F.shiftright("key", fine).alias("bin")).agg(
-                F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).toLocalIterator():
+                F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect():
             bins.setdefault(r.bin << fine >> shift << shift, []).append((r.bin << fine, r.bytes, r.rows))
         after_spans, after_wanted = {}, {}
         for span, (below, rows_below) in spans.items():
