@@ -26,6 +26,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -177,33 +179,65 @@ class PlaneReader:
 class Encoder:
     """Encodes texts piece by piece, remembering pieces already encoded.
 
-    A piece is a run without ASCII white space; the tokenizer drops white
-    space and never merges across it, so the ids of a text are the ids of its
-    pieces in order. The memory is emptied when it reaches ``limit`` pieces.
+    A piece is a run without white space; the tokenizer drops white space and
+    never merges across it, so the ids of a text are the ids of its pieces in
+    order. It also lower-cases, and cuts a closing point or comma off a word,
+    so pieces are looked up lower-cased and words share their ids with and
+    without one. Two generations of up to ``limit`` pieces are remembered: when
+    the young one is full it becomes the old one, so frequent pieces stay.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 200_000):
+    def __init__(self, path: str, end_id: int, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.end = struct.pack("<I", end_id)
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.limit = limit
 
+    def pieces(self, text: str) -> list[str]:
+        # special tokens are matched as written; the others lower-case by context in one library only
+        if not ("<|" in text or "\u03a3" in text or "\u0130" in text):
+            text = text.lower()
+        # str.split also takes the ASCII separators for white space, the tokenizer does not
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return _PIECES.findall(text)
+        return text.split()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [_PIECES.findall(t) if t else [] for t in texts]
-        known = self.known
-        new = list({p for words in pieces for p in words if p not in known})
+        pieces = [self.pieces(t) if t else [] for t in texts]
+        young, old = self.young, self.old
+        missing = []
+        for piece in {p for words in pieces for p in words if p not in young}:
+            if piece in old:
+                young[piece] = old[piece]
+            else:
+                missing.append(piece)
+        bare = {p: p[:-1] if len(p) > 1 and p[-1] in ".," and p[-2].isalpha() else p for p in missing}
+        new = list({b for b in bare.values() if b not in young} | ({".", ","} - young.keys()))
         for k in range(0, len(new), 20_000):
             part = new[k:k + 20_000]
             for piece, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[piece] = np.array(got.ids, dtype="<u4").tobytes()
-        out = [b"".join([known[p] for p in words]) + self.end for words in pieces]
-        if len(known) > self.limit:
-            known.clear()
+                young[piece] = np.array(got.ids, dtype="<u4").tobytes()
+        for piece, word in bare.items():
+            if word != piece:
+                young[piece] = young[word] + young[piece[-1]]
+        look = young.__getitem__
+        out = [b"".join(map(look, words)) + self.end for words in pieces]
+        if len(young) > self.limit:
+            self.young, self.old = {}, young
         return out
 
 
+def worker_encoder(path: str, end_id: int) -> Encoder:
+    """The encoder of this Python worker; its memory outlives a task."""
+    held = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders")).__dict__
+    if (path, end_id) not in held:
+        held[path, end_id] = Encoder(path, end_id)
+    return held[path, end_id]
+
+
 # --- Spark -----------------------------------------------------------------
 
 _MANIFEST = "file_no int, file string, n_docs long, n_ids long"
@@ -226,7 +260,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, out
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encoder = Encoder(tokenizer_path, end_id)
+        encoder = worker_encoder(tokenizer_path, end_id)
         uri = f"{out_dir}/tokens-{no:06d}.gbp"
         with writing(uri) as out:
             writer = PlaneWriter(out, block_ids, planes)
