@@ -149,16 +149,15 @@ def scan_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", it
             rows = materialise(rows.select(
                 "row", "hit.n_words", F.concat(F.coalesce("old", F.array()), "hit.spans").alias("spans"),
                 F.array_union(F.coalesce("had", F.array()), "hit.items").alias("items")))
-    return rows if blocks == 1 else rows.withColumn("spans", _merge("spans"))
+    return rows if blocks == 1 else rows.withColumn(
+        "spans", F.pandas_udf(_merge, "array<struct<start:long,stop:long>>")("spans"))
 
 
-@F.pandas_udf("array<struct<start:long,stop:long>>")
 def _merge(spans: pd.Series) -> pd.Series:
     return pd.Series([[{"start": a, "stop": b} for a, b in merge_spans([(s["start"], s["stop"]) for s in some])]
                       for some in spans])
 
 
-@F.pandas_udf("string")
 def _without_spans(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
     for text, cuts in zip(texts, spans):
@@ -190,7 +189,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, remove: str = "documents",
     text_col = options.get("text_col", "text")
     rows = scan_documents(docs, items, **options).withColumn("n_hit", n_hit())
     if remove == "spans":
-        cut = _without_spans(F.col(f"row.`{text_col}`"), F.col("spans"))
+        cut = F.pandas_udf(_without_spans, "string")(F.col(f"row.`{text_col}`"), F.col("spans"))
         return rows.select(*[(cut if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
     return rows.where(~is_contaminated(part)).select("row.*")
 

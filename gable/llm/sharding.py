@@ -1,6 +1,6 @@
 """Sharding by histogram sort, in DataFrame operations only.
 
-Rows are ordered by a 63-bit key (39 bits of the text's hash, then 24 bits of
+Rows are ordered by a 62-bit key (38 bits of the text's hash, then 24 bits of
 the id's hash: equal texts are neighbours, yet a text held by a third of all
 rows can still be split). Splitters are found without sorting: each round
 counts the exact bytes and rows below a bounded set of candidate boundaries,
@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 
 from gable.llm.common import materialise
 
-KEY_BITS, ID_BITS = 63, 24
+KEY_BITS, ID_BITS = 62, 24
 
 
 def sort_key(id_col: Column, text_col: Column) -> Column:
-    text = F.shiftrightunsigned(F.xxhash64(text_col), 1)
+    text = F.shiftrightunsigned(F.xxhash64(text_col), 2)
     low = (1 << ID_BITS) - 1
     return text.bitwiseAND(F.lit(((1 << KEY_BITS) - 1) & ~low)).bitwiseOR(F.xxhash64(id_col).bitwiseAND(F.lit(low)))
 
