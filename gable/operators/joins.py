@@ -90,8 +90,10 @@ def two_name_lookup(
     first = df.select(text.lower_strip(first_name).alias(key), *value_cols, *extra, F.lit(0).alias("__prio"))
     second = df.select(text.lower_strip(second_name).alias(key), *value_cols, *extra, F.lit(1).alias("__prio"))
     stacked = first.unionByName(second).where(F.col(key).isNotNull())
-    order = ["__prio"] + extra + list(value_cols)
-    return keep_first(stacked, [key], order).drop("__prio", *extra)
+    # a real value goes before a missing one
+    missing = {f"__missing_{c}": F.col(c).isNull() for c in value_cols}
+    order = ["__prio"] + extra + list(missing) + list(value_cols)
+    return keep_first(stacked.withColumns(missing), [key], order).drop("__prio", *extra, *missing)
 
 
 def fallback_lookup(

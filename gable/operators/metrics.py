@@ -24,14 +24,16 @@ def regression_metrics(
 ) -> DataFrame:
     """n, MAE, RMSE and R^2 = 1 - SSE / SST per group.
 
-    SST is ``n * var_pop(y)``; a constant target gives R^2 = NULL (0/0).
+    SST is ``n * var_pop(y)``; a constant target gives R^2 = NULL (0/0). Only
+    rows with both a target and a prediction count, in every figure.
     """
     err = F.col(y) - F.col(p)
+    scored_y = F.when(err.isNotNull(), F.col(y))
     aggs = [
-        F.count(F.lit(1)).alias("n"),
+        F.count(err).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.count(F.lit(1)) * F.var_pop(y))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.count(err) * F.var_pop(scored_y))).alias("r2"),
     ]
     out = df.groupBy(*by).agg(*aggs)
     if digits is not None:
@@ -41,8 +43,9 @@ def regression_metrics(
 
 def gap_penalty(train_r2: Column | str, val_r2: Column | str,
                 allowance: float = GAP_ALLOWANCE, weight: float = GAP_WEIGHT) -> Column:
-    """max(0, (train - val) - allowance) * weight."""
-    return F.greatest(F.lit(0.0), (_c(train_r2) - _c(val_r2)) - F.lit(allowance)) * F.lit(weight)
+    """max(0, (train - val) - allowance) * weight; NULL where either is."""
+    gap = _c(train_r2) - _c(val_r2)
+    return F.when(gap.isNotNull(), F.greatest(F.lit(0.0), gap - F.lit(allowance)) * F.lit(weight))
 
 
 def penalised_scores(metrics: DataFrame, by: Sequence[str], split_col: str = "split",
@@ -93,8 +96,8 @@ def top_k(df: DataFrame, value: str, k: int, by_abs: bool = False, name: str = "
 
 
 def arg_min(df: DataFrame, value: str, name: str) -> DataFrame:
-    """H3: the name with the smallest value (smallest name on ties)."""
-    return df.agg(F.min_by(F.col(name), F.struct(F.col(value), F.col(name))).alias(name),
+    """H3: the name with the smallest value (smallest name on ties; NULL values never win)."""
+    return df.where(F.col(value).isNotNull()).agg(F.min_by(F.col(name), F.struct(F.col(value), F.col(name))).alias(name),
                   F.min(value).alias(value))
 
 
@@ -136,7 +139,7 @@ def ensemble_weight_search(
     # the table has ``grid`` rows, so an unpartitioned window is one tiny task
     whole = Window.partitionBy()
     if criterion == "mae":
-        best = F.min(F.struct("val_mae", "i")).over(whole)["i"]
+        best = F.min(F.when(F.col("val_mae").isNotNull(), F.struct("val_mae", "i"))).over(whole)["i"]
     else:
-        best = F.min(F.struct(-F.col("score"), F.col("i"))).over(whole)["i"]
+        best = F.min(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("s"), "i"))).over(whole)["i"]
     return table.withColumn("is_best", (F.col("i") == best).cast("int"))
