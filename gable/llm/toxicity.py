@@ -175,7 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(totals) < 2:
         return nothing
     bound = F.when(F.col("label") == 1, F.lit(max_toxic / totals[1])).otherwise(F.lit(max_clean / totals[0]))
-    chosen = given.where(F.col("u") < bound * 1_000_000).select("id", "label").distinct()
+    chosen = materialise(given.where(F.col("u") < bound * 1_000_000).select("id", "label").distinct())
+    if chosen.count() <= 2 * (max_toxic + max_clean):  # as expected of the hash: the texts stay where they are
+        chosen = F.broadcast(chosen)
     # one copy of a text, whatever its label: copies would lend their words weight
     sample = materialise(docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                          .join(chosen, "id").groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("copy"))
