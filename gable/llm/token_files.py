@@ -48,6 +48,7 @@ _FOOTER = "<QQQQQQII8s"
 _INDEX = np.dtype([("offset", "<u8"), ("n_ids", "<u4"), ("sizes", "<u4", (32,))])
 # only ASCII white space: the tokenizers' own splitters never join across it
 _PIECES = re.compile(r"[^ \t-\r]+")
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
 
 # --- planes ----------------------------------------------------------------
@@ -176,6 +177,53 @@ class PlaneReader:
 
 # --- encoding --------------------------------------------------------------
 
+def _byte_letters() -> dict[int, int]:
+    """Byte to the letter that byte-level vocabularies write for it."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+
+
+class Pieces(dict):
+    """Ids of pieces as bytes, encoded when first asked for.
+
+    A word of lower-case Latin letters passes the tokenizer's normaliser and
+    splitter unchanged, so it goes to the tokenizer's model at once; all other
+    pieces take the tokenizer's whole way, and so do all if the model does not
+    give the tokenizer's ids for the probe words.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.letters = _byte_letters()
+        for word in ("a", "zebra", "qxzvjk", "straße", "àéîõüÿ", "internationalisierung"):
+            if self.model and self.ids(word) != self.tokenizer.encode(word, add_special_tokens=False).ids:
+                self.model = None
+
+    def ids(self, piece: str) -> list[int]:
+        if self.model and _PLAIN(piece):
+            if not piece.isascii():
+                piece = piece.encode().decode("latin-1").translate(self.letters)
+            return [t.id for t in self.model.tokenize(piece)]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
+                found = self[piece[:-1]] + self[piece[-1]]
+            else:
+                found = np.array(self.ids(piece), dtype="<u4").tobytes()
+        self[piece] = found
+        return found
+
+    def turn(self) -> None:
+        """The remembered pieces become the old generation."""
+        self.old = dict(self)
+        self.clear()
+
+
 class Encoder:
     """Encodes texts piece by piece, remembering pieces already encoded.
 
@@ -190,10 +238,8 @@ class Encoder:
     def __init__(self, path: str, end_id: int, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.known = Pieces(Tokenizer.from_file(path))
         self.end = struct.pack("<I", end_id)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.limit = limit
 
     def pieces(self, text: str) -> list[str]:
@@ -206,27 +252,11 @@ class Encoder:
         return text.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [self.pieces(t) if t else [] for t in texts]
-        young, old = self.young, self.old
-        missing = []
-        for piece in {p for words in pieces for p in words if p not in young}:
-            if piece in old:
-                young[piece] = old[piece]
-            else:
-                missing.append(piece)
-        bare = {p: p[:-1] if len(p) > 1 and p[-1] in ".," and p[-2].isalpha() else p for p in missing}
-        new = list({b for b in bare.values() if b not in young} | ({".", ","} - young.keys()))
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            for piece, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                young[piece] = np.array(got.ids, dtype="<u4").tobytes()
-        for piece, word in bare.items():
-            if word != piece:
-                young[piece] = young[word] + young[piece[-1]]
-        look = young.__getitem__
-        out = [b"".join(map(look, words)) + self.end for words in pieces]
-        if len(young) > self.limit:
-            self.young, self.old = {}, young
+        out = []
+        for text in texts:
+            out.append(b"".join(map(self.known.__getitem__, self.pieces(text))) + self.end if text else self.end)
+            if len(self.known) > self.limit:
+                self.known.turn()
         return out
 
 
