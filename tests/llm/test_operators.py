@@ -236,3 +236,32 @@ def test_queries_match_sql(spark, name):
     from gable.llm.queries import ORACLE, QUERIES
     from oracle import duck, rows_of as normal
     assert normal(QUERIES[name](spark, SMALL).toPandas()) == normal(duck(SMALL).execute(ORACLE[name]).df())
+
+
+def test_encoder_matches_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = token_files.default_tokenizer()
+    encoder, whole = token_files.Encoder(path, 1, limit=5), Tokenizer.from_file(path)
+    assert encoder.known.model is not None
+    texts = ["A\x1cb", "<|endoftext|> X", "ΣΑΣ İi", "don't I'LL", "naïve café", "e\u0301 Å", "ŉ ﬁ ß ẞ ÷×", "a.b,c. d.,",
+             " x y\u0085z", "x1y22", "ñandú. Ærø, ÿ.", "word Word, word. WORD", "", "漢字 かな", "straße" * 300]
+    for text, got in zip(texts, encoder.encode(texts)):
+        ids = whole.encode(text, add_special_tokens=False).ids + [1]
+        assert np.frombuffer(got, "<u4").tolist() == ids, text
+    assert encoder.encode([None]) == [encoder.end]
+
+
+def test_encoder_takes_the_whole_way_when_the_model_differs():
+    class Other:
+        """A tokenizer whose model does not see what its encode sees."""
+        class model:
+            @staticmethod
+            def tokenize(word):
+                return []
+
+        def encode(self, piece, add_special_tokens):
+            return type("Encoding", (), {"ids": [len(piece)]})
+
+    known = token_files.Pieces(Other())
+    assert known.model is None and np.frombuffer(known["abc"], "<u4").tolist() == [3]
