@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gable.session import cut_lineage
+
 from gable.functions import codes, text
 
 # Rows up to which a checked lookup is broadcast. A few million narrow rows
@@ -104,9 +106,9 @@ def fallback_lookup(
     ``second_key``, resolved once per ``group_key`` (first match), then
     rows without any value are dropped (E7) unless ``keep_unmatched``.
 
-    One plan, no driver round trip: the per-group fallback map is an
-    aggregate over the distinct (group, second name) pairs joined to the
-    lookup, so it is as small as the number of groups.
+    The per-group fallback map is an aggregate over the distinct (group,
+    second name) pairs joined to the lookup, so it is as small as the number
+    of groups; it is written once and broadcast if its count is small.
     """
     lookup = bounded(lookup.select(lookup_key, value_col))   # broadcast only when its count is small
     first = lookup.select(F.col(lookup_key).alias("__k1"), F.col(value_col).alias("__v1"))
@@ -123,6 +125,8 @@ def fallback_lookup(
         .groupBy(group_key)
         .agg(F.min_by("__v2", F.struct(second_key, "__v2")).alias("__v2"))
     )
+    # written once, so that its count is read and not computed; a hot group is not shuffled
+    per_group = bounded(cut_lineage(per_group, columnar=True))
     out = out.join(per_group, on=group_key, how="left")
     out = out.withColumn(value_col, F.coalesce("__v1", "__v2")).drop("__v1", "__v2")
     return out if keep_unmatched else out.where(F.col(value_col).isNotNull())
