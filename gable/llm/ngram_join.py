@@ -11,9 +11,11 @@
    a passage shared by many texts makes no large tile: a part mixes it with
    the rest of its text. (A part without elements names no tile, unless a set
    has three or more of them; then those name tiles too.)
-3. Sizes and bitmaps of hashed elements (2 to 4 bits an element) bound the
-   overlap of two sets from above: every bit in which two bitmaps differ is an
-   element only one set has. Pairs that may reach the threshold are checked by
+3. Sizes and bitmaps of hashed elements bound the overlap of two sets from
+   above. A bit holds the parity of the elements that hash to it, so common
+   elements cancel and every bit in which two bitmaps differ is an element only
+   one set has; half a bit an element is enough, as chance hits do not fill a
+   parity map. Pairs that may reach the threshold are checked by
    intersecting the sorted arrays. Small tiles send each distinct pair once
    through both checks; of a tile beyond ``small_tile`` classes only the pairs
    with a few pivots go that way. Larger tiles whose classes are then in one
@@ -36,8 +38,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,15 +48,10 @@ from gable.llm.common import materialise, runs, table
 from gable.llm.components import components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_PIECE = 1 << 20  # bytes of words hashed at once
 _GROWTH, _SPARE = 1.6, 3  # band growth, spare parts
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+_MOST_BITS = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,23 +61,43 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str | None], n: int, known: WordHashes) -> list[np.ndarray]:
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and 64-bit hashes of the words in bytes of text: sums of mixed (place in the word, byte)."""
+    inside = np.concatenate([[False], ~_BLANK[data], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    ends, out = np.cumsum(lengths), np.empty(len(starts), dtype=np.uint64)
+    cuts = np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, _PIECE), side="right")
+    cuts = np.unique(np.concatenate([[0], cuts, [len(starts)]])).tolist()
+    for a, b in zip(cuts, cuts[1:]):  # pieces of whole words bound the work memory
+        first = ends[a:b] - lengths[a:b] - (ends[a] - lengths[a])
+        place = np.arange(int(lengths[a:b].sum())) - np.repeat(first, lengths[a:b])
+        letters = data[place + np.repeat(starts[a:b], lengths[a:b])]
+        out[a:b] = np.add.reduceat(mix(((place << 8) + letters + 1).astype(np.uint64)), first)
+    return starts, mix(out)
+
+
+def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of every text."""
+    data = [t.encode("utf-8", "replace").translate(_LOWER) if t else b"" for t in texts]
+    at = np.cumsum([0, *(len(d) + 1 for d in data)])
+    starts, h = word_hashes(np.frombuffer(b" ".join([*data, b""]), dtype=np.uint8))
+    del data
+    bounds = np.searchsorted(starts, at).tolist()
     places = mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
+    whole = np.full(max(0, len(h) - n + 1), n, dtype=np.uint64)
+    for k in range(n):
+        whole += mix(h[k:k + len(whole)] * places[k])
+    whole = mix(whole)
     out = []
-    for text in texts:
-        words = text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
-        if not words:
+    for a, b in zip(bounds, bounds[1:]):
+        if b - a >= n:  # windows within the text
+            out.append(np.unique(whole[a:b - n + 1]))
+        elif b > a:  # fewer words: the whole sequence is one
+            total = mix(h[a:b] * places[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
+            out.append(mix(np.array([total], dtype=np.uint64)))
+        else:
             out.append(np.empty(0, np.uint64))
-            continue
-        h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        width = min(n, len(h))
-        total = np.full(len(h) - width + 1, width, dtype=np.uint64)
-        for k in range(width):
-            total += mix(h[k:len(h) - width + 1 + k] * places[k])
-        out.append(np.unique(mix(total)))
-    if len(known) > 300_000:
-        known.clear()
     return out
 
 
@@ -107,13 +124,13 @@ class Bands:
 
     def tiles(self, elements: np.ndarray) -> np.ndarray:
         """Names of the tiles of one set."""
-        out = []
+        out, mixed = [], mix(elements)
         for band in self.of(len(elements)):
             k = self.differing(band)
             parts = k + _SPARE
             part = ((elements >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
             total = np.zeros(parts, dtype=np.uint64)
-            np.add.at(total, part, mix(elements))
+            np.add.at(total, part, mixed)
             held = np.bincount(part, minlength=parts) > 0
             names = mix(total + mix(np.arange(parts, dtype=np.uint64) + np.uint64((band + 1) << 32)))
             out.append(names[held] if (~held).sum() < _SPARE else names)
@@ -121,19 +138,22 @@ class Bands:
 
 
 def bitmap(elements: np.ndarray, bits: int | None = None) -> np.ndarray:
-    """Bytes of a power of two of bits, 2 to 4 an element and 256 at least."""
-    bits = bits or max(256, 1 << (2 * len(elements) - 1).bit_length())
-    flags = np.zeros(bits, dtype=np.uint8)
-    flags[(elements & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(flags, bitorder="little")
+    """Bytes of a power of two of parity bits: each tells whether an odd number of elements hash to it.
+
+    Half a bit to one bit an element, 256 at least and 16 KB at most, so that
+    two blocks of bitmaps fit in a task's memory whatever the texts.
+    """
+    bits = bits or min(_MOST_BITS, max(256, 1 << (len(elements).bit_length() - 1)))
+    hits = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((hits & 1).astype(np.uint8), bitorder="little")
 
 
 def differing_bits(x: np.ndarray, y: np.ndarray) -> int:
     """Bits in which two bitmaps differ; the longer is folded to the shorter."""
     while len(x) > len(y):
-        x = x[:len(x) // 2] | x[len(x) // 2:]
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
     while len(y) > len(x):
-        y = y[:len(y) // 2] | y[len(y) // 2:]
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
     return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
 
 
@@ -152,12 +172,12 @@ def _profile(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     schema = "doc_id long, n_shingles long, class long, bits binary, tiles array<long>"
 
     def profile(batches):
-        known, seen = WordHashes(), set()
+        seen = set()
         for batch in batches:
             texts = batch.column(1)
             sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
             for a, b in runs(sizes, 1 << 21):
-                sets = shingle_sets(texts.slice(a, b - a).to_pylist(), n, known)
+                sets = shingle_sets(texts.slice(a, b - a).to_pylist(), n)
                 classes = [class_of(s) if len(s) else None for s in sets]
                 tiles, maps = [], []
                 for s, c in zip(sets, classes):
@@ -226,31 +246,83 @@ def _group_tiles(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.R
 
 # --- step 3: checks --------------------------------------------------------
 
-def close_pairs(classes: np.ndarray, sizes: np.ndarray, maps: list[bytes], joined: np.ndarray, earlier: list,
-                left: int, num: int, den: int) -> Iterator[np.ndarray]:
+def close_pairs(classes: np.ndarray, sizes: np.ndarray, maps: list[bytes], joined: np.ndarray, owner: np.ndarray,
+                earlier: np.ndarray, left: int, num: int, den: int) -> np.ndarray:
     """(a, b) rows of pairs of one tile whose bound reaches the threshold: of the
     first ``left`` classes with each other and with the rest (all, where left
     is the number of classes). Classes of equal ``joined`` are connected;
-    classes that share one of the ``earlier`` tiles are compared there."""
+    classes that share an earlier tile are compared there (class number
+    ``owner`` has tile ``earlier``). Work memory is some MB at a time."""
+    size = len(classes)
     # fold all bitmaps to the shortest: sets that can link have much the same size
     length = min(map(len, maps))
-    rows = np.vstack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, length // 8)) for m in maps])
-    places: dict[int, int] = {}
-    for tiles in earlier:
-        for t in tiles:
-            places.setdefault(t, len(places))
-    shared = np.zeros((len(rows), -(-max(1, len(places)) // 64) * 64), dtype=np.uint8)
-    for k, tiles in enumerate(earlier):
-        shared[k, [places[t] for t in tiles]] = 1
-    shared = np.packbits(shared, axis=1).view(np.uint64)
-    for i in range(min(left, len(rows) - 1)):
-        both = sizes[i] + sizes[i + 1:]
-        differ = np.bitwise_count(rows[i] ^ rows[i + 1:]).sum(axis=1, dtype=np.int64)
-        ok = ~(shared[i] & shared[i + 1:]).any(axis=1) & (joined[i + 1:] != joined[i]) & ((both - differ) * (den + num) >= 2 * num * both) & (
-            np.minimum(sizes[i], sizes[i + 1:]) * den >= np.maximum(sizes[i], sizes[i + 1:]) * num)
-        if ok.any():
-            other = classes[i + 1:][ok]
-            yield np.column_stack([np.minimum(classes[i], other), np.maximum(classes[i], other)])
+    rows = np.vstack([np.bitwise_xor.reduce(np.frombuffer(m, np.uint64).reshape(-1, length // 8)) for m in maps])
+    _, place, count = np.unique(earlier, return_inverse=True, return_counts=True)
+    common = np.flatnonzero(count > 1)  # tiles of a single class here say nothing
+    column = np.full(len(count), -1)
+    column[common] = np.arange(len(common))
+    held = np.zeros((size, -(-max(1, len(common)) // 64) * 64), dtype=np.uint8)
+    told = column[place] >= 0
+    held[owner[told], column[place][told]] = 1
+    shared = np.packbits(held, axis=1).view(np.uint64)
+    width = max(shared.shape[1], rows.shape[1])
+    step, found = max(1, (1 << 18) // (size * width)), [np.empty((0, 2), np.int64)]
+    for top in range(0, min(left, size - 1), step):
+        one = slice(top, min(top + step, left))
+        x, y = sizes[one, None], sizes[None, :]
+        ok = (np.arange(size) > np.arange(one.start, one.stop)[:, None]) & (joined[one, None] != joined)
+        ok &= np.minimum(x, y) * den >= np.maximum(x, y) * num
+        if len(common):
+            ok &= ~(shared[one, None] & shared).any(axis=2)
+        i, j = np.nonzero(ok)
+        i += top
+        both = sizes[i] + sizes[j]
+        differ = np.bitwise_count(rows[i] ^ rows[j]).sum(axis=1, dtype=np.int64)
+        ok = (both - differ) * (den + num) >= 2 * num * both
+        x, y = classes[i[ok]], classes[j[ok]]
+        found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+    return np.concatenate(found)
+
+
+def _compare_blocks(num: int, den: int):
+    """From rows sorted by (group, i, j, own, class): pairs (a, b) that may link.
+    Holds one batch and at most one pair of blocks."""
+    def pairs_of(held: pa.Table) -> Iterator[np.ndarray]:
+        cols = {c: held.column(c).to_numpy() for c in ("group", "i", "j", "own", "class", "joined", "n")}
+        maps, lists = held.column("bits").to_pylist(), held.column("tiles").combine_chunks()
+        lengths = pa.compute.list_value_length(lists).to_numpy()
+        flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)])
+        for a, b in _spans(cols):
+            yield close_pairs(cols["class"][a:b], cols["n"][a:b], maps[a:b], cols["joined"][a:b],
+                              np.repeat(np.arange(b - a), lengths[a:b]), flat[at[a]:at[b]],
+                              int((cols["own"][a:b] == cols["i"][a:b]).sum()), num, den)
+
+    def _spans(cols: dict) -> list[tuple[int, int]]:
+        new = np.zeros(len(cols["group"]), dtype=bool)
+        for c in ("group", "i", "j"):
+            new[1:] |= cols[c][1:] != cols[c][:-1]
+        starts = np.concatenate([[0], np.flatnonzero(new)]).tolist()
+        return list(zip(starts, [*starts[1:], len(new)]))
+
+    def out(found: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.concatenate([np.empty((0, 2), np.int64), *found])
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    def compare(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, new]) if held is not None else new
+            last = _spans({c: held.column(c).to_numpy() for c in ("group", "i", "j")})[-1][0]
+            if last:  # the last pair of blocks may go on in the next batch
+                yield out(list(pairs_of(held.slice(0, last))))
+                held = held.slice(last)
+        if held is not None:
+            yield out(list(pairs_of(held)))
+
+    return compare
 
 
 def _may_link(num: int, den: int):
@@ -285,13 +357,15 @@ def _element_arrays(docs: DataFrame, wanted: DataFrame, n: int, broadcast_rows:
     texts are not shuffled; beyond that both sides are.
     """
     def arrays(batches):
-        known = WordHashes()
-        for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist(), n, known)
-            ok = [class_of(s) == c for s, c in zip(sets, batch.column("class").to_pylist())]
-            yield pa.RecordBatch.from_pydict({
-                "class": batch.column("class").filter(pa.array(ok, pa.bool_())),
-                "elements": pa.array([s.tobytes() for s, good in zip(sets, ok) if good], pa.binary())})
+        for whole in batches:
+            sizes = pa.compute.fill_null(pa.compute.binary_length(whole.column("text")), 0).to_pylist()
+            for a, b in runs(sizes, 1 << 21):
+                batch = whole.slice(a, b - a)
+                sets = shingle_sets(batch.column("text").to_pylist(), n)
+                ok = [class_of(s) == c for s, c in zip(sets, batch.column("class").to_pylist())]
+                yield pa.RecordBatch.from_pydict({
+                    "class": batch.column("class").filter(pa.array(ok, pa.bool_())),
+                    "elements": pa.array([s.tobytes() for s, good in zip(sets, ok) if good], pa.binary())})
 
     wanted = materialise(wanted)
     few = wanted.count() <= broadcast_rows
@@ -337,7 +411,7 @@ def _open_groups(told: DataFrame) -> DataFrame:
 
 
 def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text", small_tile: int = 6, block: int = 256) -> DataFrame:
+                       text_col: str = "text", small_tile: int = 6, block: int = 512) -> DataFrame:
     """doc_id, n_shingles, class, component_id of every document."""
     bands = Bands(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -360,7 +434,6 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     alike = F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num
     pairs = materialise(pairs.join(x, "a").join(y, "b").where(alike).mapInArrow(_may_link(num, den), "a long, b long"))
 
-
     def linked(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         arrays = _element_arrays(texts, wanted.join(classes, "class").select("class", "doc_id"), n)
@@ -378,14 +451,9 @@ def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     placed = placed.select("group", "class", "joined", "tiles", "own", F.least("own", "other").alias("i"),
                            F.greatest("own", "other").alias("j"))
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["own", "class"], ignore_index=True)
-        left = int((part["own"] == part["i"]).sum())
-        found = list(close_pairs(part["class"].to_numpy(), part["n"].to_numpy(), part["bits"].tolist(),
-                                 part["joined"].to_numpy(), part["tiles"].tolist(), left, num, den))
-        return pd.DataFrame(np.vstack(found) if found else np.empty((0, 2), np.int64), columns=["a", "b"])
-
-    late = materialise(placed.join(maps, "class").groupBy("group", "i", "j").applyInPandas(compare, "a long, b long")
+    blocks = (placed.join(maps, "class").repartition("group", "i", "j")
+              .sortWithinPartitions("group", "i", "j", "own", "class"))
+    late = materialise(blocks.mapInArrow(_compare_blocks(num, den), "a long, b long")
                        .distinct().join(pairs, ["a", "b"], "left_anti"))
     if late.take(1):
         joined = components(linked(late).union(joined.select("node", "component")))
