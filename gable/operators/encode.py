@@ -27,10 +27,10 @@ def encode_yes_no(df: DataFrame, cols: Iterable[str], yes: str = "yes", no: str
     return df.withColumns({c: text.yes_no(c, yes, no) for c in live}) if live else df
 
 
-def clean_numeric_strings(df: DataFrame, cols: Iterable[str], remove: str = "m") -> DataFrame:
-    """C5 over a column list."""
+def clean_numeric_strings(df: DataFrame, cols: Iterable[str], remove: str = "m", strict: bool = False) -> DataFrame:
+    """C5 over a column list; with ``strict`` the query fails on malformed text."""
     live = present(df, cols)
-    return df.withColumns({c: text.clean_numeric_string(c, remove) for c in live}) if live else df
+    return df.withColumns({c: text.clean_numeric_string(c, remove, strict) for c in live}) if live else df
 
 
 def classify_labels(

@@ -26,9 +26,10 @@ from gable.sources import files
 # stage 1 (J5)
 # ---------------------------------------------------------------------------
 
-def stage1(raw: DataFrame) -> DataFrame:
+def stage1(raw: DataFrame, strict_numbers: bool = False) -> DataFrame:
     """Dedup, types, required columns, URL parts, price / VAT / numeric
-    strings, yes/no, subtype + property type."""
+    strings, yes/no, subtype + property type. With ``strict_numbers`` the
+    job fails on malformed numeric text, otherwise it becomes NULL."""
     df = raw.dropDuplicates()                                            # F1
     df = C.enforce_types(df, P.CORE_DTYPES)                              # A14
     df = C.require_columns(df, P.EXPECTED_MIN_COLUMNS)                   # A13
@@ -39,7 +40,7 @@ def stage1(raw: DataFrame) -> DataFrame:
     df = df.withColumn("price", F.coalesce("price", F.lit(-1.0)))        # C6 (unreachable after B2)
     if "vat" in df.columns:
         df = df.withColumn("vat", text.normalize_vat("vat"))             # C6
-    df = encode.clean_numeric_strings(df, P.NUMERIC_STR_COLS)            # C5
+    df = encode.clean_numeric_strings(df, P.NUMERIC_STR_COLS, strict=strict_numbers)   # C5
     df = encode.encode_yes_no(df, P.YES_NO_COLS)                         # C4
     df = df.withColumn("property_subtype", text.normalize_label("property_subtype"))   # C2
     df = df.withColumn("property_type", text.classify(                   # C3

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gable.operators import joins, metrics
+from gable.operators import encode, joins, metrics
 
 
 def test_metrics_count_scored_rows_only(spark):
@@ -27,3 +27,12 @@ def test_lookup_prefers_a_real_value(spark):
     df = spark.createDataFrame([("x", "x2", None), ("x", "x3", 5.0)], "a string, b string, v double")
     got = joins.two_name_lookup(df, "a", "b", ["v"], key="name")
     assert got.where(F.col("name") == "x").first().v == 5.0
+
+
+def test_strict_numeric_strings_fail_on_malformed_text(spark):
+    df = spark.createDataFrame([("12 m",), ("nan",), (None,), ("x9",)], "v string")
+    assert [r.v for r in encode.clean_numeric_strings(df, ["v"]).collect()] == [12.0, None, None, None]
+    with pytest.raises(Exception, match="not a number"):
+        encode.clean_numeric_strings(df, ["v"], strict=True).collect()
+    good = encode.clean_numeric_strings(df.where("v is null or v != 'x9'"), ["v"], strict=True)
+    assert [r.v for r in good.collect()] == [12.0, None, None]
