@@ -194,6 +194,25 @@ def test_language_id(spark, odd_docs, no_docs):
     assert language_id.fit(no_docs).predict(["some text"]) == [("und", 0.0, True)]
 
 
+def test_language_id_rejects_what_it_has_not_learned(spark):
+    import base64
+    import random
+
+    from gable.llm.common import is_held_out, table
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("text is not null and lang is not null")
+    held = [(r.lang, r.text) for r in docs.where(is_held_out(F.col("doc_id"))).collect()]
+    model, draw = language_id.fit(docs), random.Random(7)
+    own = [rejected for _, _, rejected in model.predict([t for _, t in held])]
+    assert sum(own) <= 0.02 * len(held)
+    letters = " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(100))
+    odd = [letters, letters[:60], base64.b64encode(draw.randbytes(700)).decode(), "for i in range(n):\n    if x[i] is None:\n        return {}\n" * 5]
+    assert all(rejected for _, _, rejected in model.predict(odd))
+    for lang in ("de", "en", "es", "fr"):
+        left_out = [t for x, t in held if x == lang and len(t) >= 200]
+        told = language_id.fit(docs.where(F.col("lang") != lang)).predict(left_out)
+        assert len(told) > 5 and sum(rejected for _, _, rejected in told) >= 0.9 * len(told)
+
+
 def test_quality_rules(spark, odd_docs, no_docs):
     assert quality_rules.text_counts(no_docs).count() == 0
     stats = quality_rules.text_counts(odd_docs)
