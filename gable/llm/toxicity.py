@@ -16,8 +16,9 @@ documents hold and toxic ones do not. The score is a logistic function of the
 matched weight, as it stands and per hundred words, fitted on the same rows.
 
 Learning is bounded: ``max_toxic`` toxic and ``max_clean`` clean documents,
-chosen by a hash of the id; ``max_terms`` terms and ``max_exceptions`` learned
-exceptions (those with the most support). Scoring reads every whole text.
+chosen by a hash of the id; ``max_exceptions`` learned exceptions (those with
+the most support). Every term of these documents that qualifies is in the
+lexicon. Scoring reads every whole text.
 
 Defined results: null and empty texts match nothing and get the lowest
 score; null labels are not learned from; where no toxic or no clean row is
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -79,18 +79,22 @@ def terms_of(folded: str) -> set[str]:
     return out
 
 
-def choose_terms(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, min_odds: float) -> dict[str, float]:
-    """Terms (text, toxic documents, clean documents) to weights."""
-    odds = {t: math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1)) for t, a, b in counts}
-    support = {t: a for t, a, _ in counts}
-    longest = Counter()  # of each stem, the support of its best extension
-    for t, a in support.items():
-        # a whole word extends its longest counted stem, a stem the one a letter shorter
-        stem = t[:1 + min(len(t) - 2, _STEMS[-1])] if t.endswith(" ") else t[:-1]
-        longest[stem] = max(longest[stem], a)
-    good = {t for t in support if odds[t] >= min_odds and longest[t] < 0.9 * support[t]}
+def qualified_terms(counted: DataFrame, n_toxic: int, n_clean: int, least: float, min_odds: float) -> DataFrame:
+    """(term, odds) of the closed terms with enough support and odds, of all counted ones."""
+    counted = materialise(counted.where(F.col("toxic") >= least).where(F.col("toxic") * n_clean > F.col("clean") * n_toxic))
+    # a whole word extends its longest counted stem, a stem the one a letter shorter
+    stem = F.when(F.col("term").endswith(" "), F.expr(f"left(term, 1 + least(length(term) - 2, {_STEMS[-1]}))")).otherwise(
+        F.expr("left(term, length(term) - 1)"))
+    longest = counted.groupBy(stem.alias("term")).agg(F.max("toxic").alias("longest"))
+    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+    good = counted.withColumn("odds", odds).where(F.col("odds") >= min_odds).join(longest, "term", "left")
+    return good.where(F.coalesce("longest", F.lit(0)) < 0.9 * F.col("toxic")).select("term", "odds")
+
+
+def choose_terms(odds: dict[str, float]) -> dict[str, float]:
+    """Qualified terms that no shorter one explains as well, to weights."""
     shorter = lambda t: (t[:k] for k in range(1 + _STEMS[0], len(t)))
-    return {t: odds[t] for t in sorted(good) if not any(s in good and odds[s] >= odds[t] - 0.5 for s in shorter(t))}
+    return {t: odds[t] for t in sorted(odds) if not any(s in odds and odds[s] >= odds[t] - 0.5 for s in shorter(t))}
 
 
 class Matcher:
@@ -163,7 +167,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_toxic: int = 4_000, max_clean: int = 4_000, min_share: float = 0.004, min_documents: int = 4,
-        min_odds: float = 2.5, max_terms: int = 5_000, exceptions: tuple[str, ...] = (), max_exceptions: int = 1_000,
+        min_odds: float = 2.5, exceptions: tuple[str, ...] = (), max_exceptions: int = 1_000,
         ) -> Model:
     """Learn lexicon, exceptions and score (see the module's docstring)."""
     given = labels.where(F.col(label_col).isin(0, 1) & ~is_held_out(F.col(id_col))).select(
@@ -188,9 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     letters = folding()
     counted = count_terms(sample, lambda text: terms_of(fold(text, letters)))
     least = max(min_documents, min_share * n[1])
-    rows = (counted.where(F.col("toxic") >= least).where(F.col("toxic") * n[0] > F.col("clean") * n[1])
-            .orderBy(F.desc("toxic"), "term").limit(max_terms).collect())
-    weights = choose_terms([(r.term, r.toxic, r.clean) for r in rows], n[1], n[0], min_odds)
+    weights = choose_terms({r.term: r.odds for r in qualified_terms(counted, n[1], n[0], least, min_odds).collect()})
     plain = Shared(spark, Matcher(weights, []))
 
     def phrases(text: str) -> set[str]:

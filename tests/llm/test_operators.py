@@ -78,6 +78,18 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert no_docs.select(told(F.col("text")).alias("s")).count() == 0
 
 
+def test_toxicity_weighs_rare_terms_behind_many_common_ones(spark):
+    rng = np.random.default_rng(5)
+    common = ["".join(map(chr, rng.integers(97, 123, 10))) for _ in range(1_500)]  # 9,000 terms, a little more often toxic
+    docs = []
+    for k in range(200):
+        words = [w for w in common if rng.random() < (0.5 if k % 2 else 0.35)]
+        docs.append((k, " ".join(words + ["grumpf"] * (k % 10 == 1))))
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(200)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    assert model.weights and all(" grumpf ".startswith(t) for t in model.weights)
+
+
 def brute_components(docs, n, num, den):
     sets, parent = {}, {}
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
