@@ -1,7 +1,8 @@
 """Model queries on the driver tables (rows-only check: no SQL twin).
 
-All read the whole star schema through the end-to-end flow; model sizes
-are small (few trees, shallow depth) because the check runs every fit.
+All read the whole star schema through the end-to-end flow; models, folds,
+trials and search ranges are those of the source's runs (``models.GBT_PRESETS``,
+``models.SEARCH_SPACES``).
 """
 
 from __future__ import annotations
@@ -16,9 +17,6 @@ from gable.plans import star
 from gable.plans.catalog import register
 from gable.session import scratch_path
 
-_SMALL_GBT = {"maxIter": 10, "maxDepth": 4}
-_SMALL_RF = {"numTrees": 20, "maxDepth": 6}
-
 
 def model_frame(spark, d, model_type: str = "xgb"):
     """Stage-3 rows of every split -> (frame with keys, label and numeric
@@ -56,12 +54,12 @@ def q_lr_cv(spark, d):
 
 @register("rf_cv")
 def q_rf_cv(spark, d):
-    return _cv(spark, d, "rf", _SMALL_RF, "rf")
+    return _cv(spark, d, "rf", None, "rf")
 
 
 @register("gbt_cv")
 def q_gbt_cv(spark, d):
-    return _cv(spark, d, "xgb", _SMALL_GBT, "xgb")
+    return _cv(spark, d, "xgb", None, "xgb")
 
 
 @register("early_stop_gbt")
@@ -69,7 +67,7 @@ def q_early_stop_gbt(spark, d):
     frame, feats = model_frame(spark, d)
     train, (val,), _ = MF.median_impute(frame.where(F.col("split") == "train"),
                                         [frame.where(F.col("split") == "val")], feats)
-    model, n_trees = models.fit_early_stopping(train, val, feats, "price", "xgb", {"maxIter": 40, "maxDepth": 4})
+    model, n_trees = models.fit_early_stopping(train, val, feats, "price", "xgb")
     return models.importance_table(model, feats).withColumn("trees_kept", F.lit(n_trees))
 
 
@@ -77,8 +75,7 @@ def q_early_stop_gbt(spark, d):
 def q_feature_elimination(spark, d):
     frame, feats = model_frame(spark, d)
     train = frame.where(F.col("split") == "train")
-    return search.recursive_feature_elimination(train, feats, "price", "rf", {"numTrees": 10, "maxDepth": 5},
-                                                k=3, min_features=max(1, len(feats) - 4))
+    return search.recursive_feature_elimination(train, feats, "price", "cat")
 
 
 @register("permutation_importance")
@@ -86,17 +83,16 @@ def q_permutation_importance(spark, d):
     frame, feats = model_frame(spark, d)
     train, (val,), _ = MF.median_impute(frame.where(F.col("split") == "train"),
                                         [frame.where(F.col("split") == "val")], feats)
-    model = models.make_regressor("xgb", _SMALL_GBT).fit(MF.assemble(train, feats, "price").df)
+    model = models.make_regressor("xgb").fit(MF.assemble(train, feats, "price").df)
     return search.permutation_importance(model, val, feats, "price")
 
 
 @register("param_search")
 def q_param_search(spark, d):
     frame, feats = model_frame(spark, d)
-    space = {"maxDepth": (2, 5, "int"), "stepSize": (0.05, 0.3, "log"), "subsamplingRate": (0.7, 1.0, "float"),
-             "maxIter": (5, 15, "int")}
     return search.param_search(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "val"),
-                               feats, "price", "xgb", space, n_trials=4)
+                               feats, "price", "xgb", models.SEARCH_SPACES["general"],
+                               n_trials=models.SEARCH_TRIALS["general"])
 
 
 @register("reduced_retrain")
@@ -105,7 +101,7 @@ def q_reduced_retrain(spark, d):
     frame, feats = model_frame(spark, d)
     wanted = ["qty_sum", "n_lines", "c_acctbal", "o_custkey_te_price", "priority", "not_a_feature"]
     reduced = [f for f in wanted if f in feats]
-    folds = models.cross_validate(frame.where(F.col("split") == "train"), reduced, "price", "xgb", _SMALL_GBT)
+    folds = models.cross_validate(frame.where(F.col("split") == "train"), reduced, "price", "xgb")
     return models.cv_table(folds).withColumn("num_features", F.lit(len(reduced)))
 
 
@@ -113,9 +109,10 @@ def q_reduced_retrain(spark, d):
 def q_segment_models_score(spark, d):
     frame, feats = model_frame(spark, d)
     path = scratch_path(spark, "segment-models")
-    fitted = search.fit_segment_models(frame.where(F.col("split") != "test"), "c_mktsegment",
-                                       {"house": "HOUSEHOLD", "apartment": "BUILDING"}, feats, "price", "xgb",
-                                       _SMALL_GBT, path=path)
+    # as in the source, the final models are fitted on every row, the test split's too
+    fitted = search.fit_segment_models(frame, "c_mktsegment", {"house": "HOUSEHOLD", "apartment": "BUILDING"}, feats,
+                                       "price", "xgb", path=path,
+                                       segment_params={n: models.GBT_PRESETS[f"xgb_{n}"] for n in ("house", "apartment")})
     loaded = search.load_segment_models(path, ["house", "apartment"], "xgb")
     medians = {name: med for name, (_, med) in fitted.items()}
     return search.score_by_segment(frame.where(F.col("split") == "test"), loaded, "c_mktsegment", "HOUSEHOLD",
@@ -137,6 +134,6 @@ def q_param_search_mae(spark, d):
     """M8, segment variant: one segment's rows, objective = validation MAE."""
     frame, feats = model_frame(spark, d)
     seg = frame.where(F.col("c_mktsegment") == "HOUSEHOLD")
-    space = {"maxDepth": (2, 5, "int"), "stepSize": (0.05, 0.3, "log"), "maxIter": (5, 15, "int")}
     return search.param_search(seg.where(F.col("split") == "train"), seg.where(F.col("split") == "val"),
-                               feats, "price", "xgb", space, n_trials=4, criterion="mae")
+                               feats, "price", "xgb", models.SEARCH_SPACES["segment"],
+                               n_trials=models.SEARCH_TRIALS["segment"], criterion="mae")
