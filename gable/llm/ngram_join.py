@@ -26,6 +26,10 @@
    to the arrays.
 4. Components of the links, by :mod:`components`.
 
+The result is set sizes and components only, not the linked pairs or their
+number: pairs that other links connect already are not compared (in tiles
+beyond ``small_tile`` classes and in groups), so not every link is found.
+
 Defined results: null text and text without words have an empty set, link
 with nothing and are their own component; texts of fewer words than n are one
 n-gram; equal sets link however often they occur; repeated rows stand for
