@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gable.session import cut_lineage
+from gable.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back."""
-    return cut_lineage(df, columnar=True)
+    path = scratch_path(df.sparkSession, "step")
+    df.write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._step = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of :func:`materialise` that nothing will read again; other frames are left alone."""
+    for df in frames:
+        path = df.__dict__.pop("_step", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def is_held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -2,494 +2,71 @@
 
 1. A text's set is its distinct word n-grams (hashed to 64 bits, sorted).
    Texts with equal sets form a class; from here on classes are compared.
-2. Classes are dealt into bands by set size. Two sets that reach the
-   threshold and whose larger lies in a band differ in at most k elements, k
-   known for the band. Every set's elements are dealt by hash into k + 3 parts;
-   so at least three parts of the two sets are equal. A class goes to one tile
-   for each of its parts, named by band, part and the part's hash, in its own
-   band, and in the next one if a partner can lie there. No link is lost, and
-   a passage shared by many texts makes no large tile: a part mixes it with
-   the rest of its text. (A part without elements names no tile, unless a set
-   has three or more of them; then those name tiles too.)
-3. Sizes and bitmaps of hashed elements bound the overlap of two sets from
-   above. A bit holds the parity of the elements that hash to it, so common
-   elements cancel and every bit in which two bitmaps differ is an element only
-   one set has; half a bit an element is enough, as chance hits do not fill a
-   parity map. Pairs that may reach the threshold are checked by
-   intersecting the sorted arrays. Small tiles send each distinct pair once
-   through both checks; of a tile beyond ``small_tile`` classes only the pairs
-   with a few pivots go that way. Larger tiles whose classes are then in one
-   component are done. Open ones that share members are joined to one group if
-   that makes fewer comparisons (copies of one text share most tiles); groups
-   are cut into blocks, and each pair of blocks is one task's work: it compares
-   bitmaps, and only pairs that pass the bound and are not connected yet go on
-   to the arrays.
+2. Two sets that reach the threshold t share one of the |x| - ceil(t |x|) + 1
+   first elements of each, whatever the order of elements. The order is from
+   rare to common, by counts of hash cells over all texts, so a line or
+   passage of many texts names no tile unless a text has little else. A
+   set goes to one tile for each of those elements; no link is lost. Sets too
+   small to link with any other set go to none.
+3. Tiles are compared as :mod:`linking` tells: pairs of small ones, blocks of
+   size bands of larger ones. Bit counts of parity bitmaps of hashed elements
+   bound the overlap from above (common elements cancel, so every bit in which
+   two bitmaps differ is an element only one set has); pairs that may reach the
+   threshold are checked by intersecting the sorted arrays. Every pair of different
+   sets that links is found and counted once.
 4. Components of the links, by :mod:`components`.
 
-The result is set sizes and components only, not the linked pairs or their
-number: pairs that other links connect already are not compared (in tiles
-beyond ``small_tile`` classes and in groups), so not every link is found.
+The result has a row for each document: its set's size, class, number of links
+(other rows it links with, copies of its own set included) and component.
 
 Defined results: null text and text without words have an empty set, link
 with nothing and are their own component; texts of fewer words than n are one
 n-gram; equal sets link however often they occur; repeated rows stand for
-themselves; an empty table gives no rows; other columns are kept by
-:func:`keep_one` whatever their names.
+themselves; null and repeated ids are rows like others (a component's id is
+the least id in it); an empty table gives no rows; other columns are kept by
+:func:`keep_one` whatever their names. Texts of any length are taken whole, a
+task holds the sets of about 2 MB of text, or of one text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from gable.llm.common import materialise, runs, table
-from gable.llm.components import components
-
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_PIECE = 1 << 20  # bytes of words hashed at once
-_GROWTH, _SPARE = 1.6, 3  # band growth, spare parts
-_MOST_BITS = 1 << 17
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and 64-bit hashes of the words in bytes of text: sums of mixed (place in the word, byte)."""
-    inside = np.concatenate([[False], ~_BLANK[data], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, lengths = edges[::2], edges[1::2] - edges[::2]
-    ends, out = np.cumsum(lengths), np.empty(len(starts), dtype=np.uint64)
-    cuts = np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, _PIECE), side="right")
-    cuts = np.unique(np.concatenate([[0], cuts, [len(starts)]])).tolist()
-    for a, b in zip(cuts, cuts[1:]):  # pieces of whole words bound the work memory
-        first = ends[a:b] - lengths[a:b] - (ends[a] - lengths[a])
-        place = np.arange(int(lengths[a:b].sum())) - np.repeat(first, lengths[a:b])
-        letters = data[place + np.repeat(starts[a:b], lengths[a:b])]
-        out[a:b] = np.add.reduceat(mix(((place << 8) + letters + 1).astype(np.uint64)), first)
-    return starts, mix(out)
-
-
-def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
-    """Sorted distinct n-gram hashes of every text."""
-    data = [t.encode("utf-8", "replace").translate(_LOWER) if t else b"" for t in texts]
-    at = np.cumsum([0, *(len(d) + 1 for d in data)])
-    starts, h = word_hashes(np.frombuffer(b" ".join([*data, b""]), dtype=np.uint8))
-    del data
-    bounds = np.searchsorted(starts, at).tolist()
-    places = mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
-    whole = np.full(max(0, len(h) - n + 1), n, dtype=np.uint64)
-    for k in range(n):
-        whole += mix(h[k:k + len(whole)] * places[k])
-    whole = mix(whole)
-    out = []
-    for a, b in zip(bounds, bounds[1:]):
-        if b - a >= n:  # windows within the text
-            out.append(np.unique(whole[a:b - n + 1]))
-        elif b > a:  # fewer words: the whole sequence is one
-            total = mix(h[a:b] * places[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            out.append(mix(np.array([total], dtype=np.uint64)))
-        else:
-            out.append(np.empty(0, np.uint64))
-    return out
-
-
-class Bands:
-    """Size bands of a threshold num / den, and their numbers of parts."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        tops = [4]
-        while tops[-1] < 1 << 40:
-            # a partner of the next band's smallest set is never two bands below
-            tops.append(max(int(tops[-1] * _GROWTH), -(-tops[-1] * den // num)))
-        self.tops = np.array(tops)
-
-    def differing(self, band: int) -> int:
-        """Most elements in which linked sets of the band can differ."""
-        return int((self.den - self.num) * 2 * self.tops[band] // (self.den + self.num))
-
-    def of(self, size: int) -> list[int]:
-        """Bands in which a set of this size looks for partners."""
-        own = int(np.searchsorted(self.tops, size))
-        up = [own + 1] if self.den * size >= self.num * (int(self.tops[own]) + 1) else []
-        return [b for b in [own, *up] if self.differing(b) > 0]
-
-    def tiles(self, elements: np.ndarray) -> np.ndarray:
-        """Names of the tiles of one set."""
-        out, mixed = [], mix(elements)
-        for band in self.of(len(elements)):
-            k = self.differing(band)
-            parts = k + _SPARE
-            part = ((elements >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
-            total = np.zeros(parts, dtype=np.uint64)
-            np.add.at(total, part, mixed)
-            held = np.bincount(part, minlength=parts) > 0
-            names = mix(total + mix(np.arange(parts, dtype=np.uint64) + np.uint64((band + 1) << 32)))
-            out.append(names[held] if (~held).sum() < _SPARE else names)
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
-def bitmap(elements: np.ndarray, bits: int | None = None) -> np.ndarray:
-    """Bytes of a power of two of parity bits: each tells whether an odd number of elements hash to it.
-
-    Half a bit to one bit an element, 256 at least and 16 KB at most, so that
-    two blocks of bitmaps fit in a task's memory whatever the texts.
-    """
-    bits = bits or min(_MOST_BITS, max(256, 1 << (len(elements).bit_length() - 1)))
-    hits = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
-    return np.packbits((hits & 1).astype(np.uint8), bitorder="little")
-
-
-def differing_bits(x: np.ndarray, y: np.ndarray) -> int:
-    """Bits in which two bitmaps differ; the longer is folded to the shorter."""
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
-
-
-def class_of(elements: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(elements.tobytes())).astype(np.int64))
-
-
-# --- step 1 and 2: sets, classes, tiles ------------------------------------
-
-def _profile(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """doc_id, n_shingles, class, bitmap and tiles of every row.
-
-    Bitmap and tiles of a class stand at the first of its rows in a task, so
-    copies of a text cost one list a task.
-    """
-    schema = "doc_id long, n_shingles long, class long, bits binary, tiles array<long>"
-
-    def profile(batches):
-        seen = set()
-        for batch in batches:
-            texts = batch.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
-            for a, b in runs(sizes, 1 << 21):
-                sets = shingle_sets(texts.slice(a, b - a).to_pylist(), n)
-                classes = [class_of(s) if len(s) else None for s in sets]
-                tiles, maps = [], []
-                for s, c in zip(sets, classes):
-                    new = c is not None and c not in seen
-                    tiles.append(bands.tiles(s).view(np.int64) if new else None)
-                    maps.append(bitmap(s).tobytes() if new else None)
-                    seen.add(c)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(classes, pa.int64()), pa.array(maps, pa.binary()), pa.array(tiles, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "class", "bits", "tiles"])
-
-    return docs.mapInArrow(profile, schema)
 
+from gable.llm import linking
+from gable.llm.common import table
 
-def _group_tiles(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (tile, class): pairs of small tiles (member null),
-    members with their number of larger tiles (b null). Holds one batch and
-    at most the head of one tile."""
-    def rows(tile, a, b=None, member=None):
-        size = len(a)
-        return pa.RecordBatch.from_arrays([
-            pa.array(tile, pa.int64()), pa.array(a, pa.int64()),
-            pa.array(b, pa.int64()) if b is not None else pa.nulls(size, pa.int64()),
-            pa.array(member, pa.int64()) if member is not None else pa.nulls(size, pa.int64())],
-            names=["tile", "a", "b", "member"])
 
-    def closed(tiles, classes):
-        """Whole tiles: emit pairs or members."""
-        starts = np.flatnonzero(np.concatenate([[True], tiles[1:] != tiles[:-1]]))
-        sizes = np.diff(np.concatenate([starts, [len(tiles)]]))
-        for size in np.unique(sizes[sizes > 1]).tolist():
-            of = starts[sizes == size]
-            held = classes[of[:, None] + np.arange(size)]
-            if size <= small:
-                x, y = np.triu_indices(size, 1)
-                yield rows(np.repeat(tiles[of], len(x)), held[:, x].ravel(), b=held[:, y].ravel())
-            else:
-                yield rows(np.repeat(tiles[of], size), held.ravel(), member=np.tile(np.arange(size), len(of)))
+def rare_elements(num: int, den: int):
+    """The elements of a set that name its tiles: as many of the rarest as every linked pair shares one of."""
+    def tiles(elements: np.ndarray, cells: linking.Cells) -> np.ndarray:
+        size = len(elements)
+        if size * den < num * (size + 1):  # not even a set with one element more links
+            return elements[:0]
+        order = np.argsort(cells.of(elements), kind="stable")  # ties by element: arrays are sorted
+        return elements[order[:size - -(-num * size // den) + 1]]
 
-    tail_t, tail_c, sent = np.empty(0, np.int64), np.empty(0, np.int64), 0
-    for batch in batches:
-        tiles = np.concatenate([tail_t, batch.column(0).to_numpy()])
-        classes = np.concatenate([tail_c, batch.column(1).to_numpy()])
-        new = np.concatenate([[True], (tiles[1:] != tiles[:-1]) | (classes[1:] != classes[:-1])])
-        tiles, classes = tiles[new], classes[new]
-        if sent:  # a tile whose head is out already: its rows follow as members
-            n = int(np.searchsorted(tiles != tiles[0], True)) if (tiles != tiles[0]).any() else len(tiles)
-            fresh = slice(1, n)  # row 0 was sent, it is kept to see repeats
-            if n > 1:
-                yield rows(tiles[fresh], classes[fresh], member=np.arange(sent, sent + n - 1))
-                sent += n - 1
-            if n == len(tiles):
-                tail_t, tail_c = tiles[-1:], classes[-1:]
-                continue
-            tiles, classes, sent = tiles[n:], classes[n:], 0
-        last = int(np.flatnonzero(tiles == tiles[-1])[0])  # sorted: the tile that may go on
-        yield from closed(tiles[:last], classes[:last]) if last else ()
-        tail_t, tail_c = tiles[last:], classes[last:]
-        if len(tail_t) > max(small, 4096):
-            yield rows(tail_t, tail_c, member=np.arange(len(tail_t)))
-            sent, tail_t, tail_c = len(tail_t), tail_t[-1:], tail_c[-1:]
-    if len(tail_t) and not sent:
-        yield from closed(tail_t, tail_c)
-
-
-# --- step 3: checks --------------------------------------------------------
-
-def close_pairs(classes: np.ndarray, sizes: np.ndarray, maps: list[bytes], joined: np.ndarray, owner: np.ndarray,
-                earlier: np.ndarray, left: int, num: int, den: int) -> np.ndarray:
-    """(a, b) rows of pairs of one tile whose bound reaches the threshold: of the
-    first ``left`` classes with each other and with the rest (all, where left
-    is the number of classes). Classes of equal ``joined`` are connected;
-    classes that share an earlier tile are compared there (class number
-    ``owner`` has tile ``earlier``). Work memory is some MB at a time."""
-    size = len(classes)
-    # fold all bitmaps to the shortest: sets that can link have much the same size
-    length = min(map(len, maps))
-    rows = np.vstack([np.bitwise_xor.reduce(np.frombuffer(m, np.uint64).reshape(-1, length // 8)) for m in maps])
-    _, place, count = np.unique(earlier, return_inverse=True, return_counts=True)
-    common = np.flatnonzero(count > 1)  # tiles of a single class here say nothing
-    column = np.full(len(count), -1)
-    column[common] = np.arange(len(common))
-    held = np.zeros((size, -(-max(1, len(common)) // 64) * 64), dtype=np.uint8)
-    told = column[place] >= 0
-    held[owner[told], column[place][told]] = 1
-    shared = np.packbits(held, axis=1).view(np.uint64)
-    width = max(shared.shape[1], rows.shape[1])
-    step, found = max(1, (1 << 18) // (size * width)), [np.empty((0, 2), np.int64)]
-    for top in range(0, min(left, size - 1), step):
-        one = slice(top, min(top + step, left))
-        x, y = sizes[one, None], sizes[None, :]
-        ok = (np.arange(size) > np.arange(one.start, one.stop)[:, None]) & (joined[one, None] != joined)
-        ok &= np.minimum(x, y) * den >= np.maximum(x, y) * num
-        if len(common):
-            ok &= ~(shared[one, None] & shared).any(axis=2)
-        i, j = np.nonzero(ok)
-        i += top
-        both = sizes[i] + sizes[j]
-        differ = np.bitwise_count(rows[i] ^ rows[j]).sum(axis=1, dtype=np.int64)
-        ok = (both - differ) * (den + num) >= 2 * num * both
-        x, y = classes[i[ok]], classes[j[ok]]
-        found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
-    return np.concatenate(found)
-
-
-def _compare_blocks(num: int, den: int):
-    """From rows sorted by (group, i, j, own, class): pairs (a, b) that may link.
-    Holds one batch and at most one pair of blocks."""
-    def pairs_of(held: pa.Table) -> Iterator[np.ndarray]:
-        cols = {c: held.column(c).to_numpy() for c in ("group", "i", "j", "own", "class", "joined", "n")}
-        maps, lists = held.column("bits").to_pylist(), held.column("tiles").combine_chunks()
-        lengths = pa.compute.list_value_length(lists).to_numpy()
-        flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)])
-        for a, b in _spans(cols):
-            yield close_pairs(cols["class"][a:b], cols["n"][a:b], maps[a:b], cols["joined"][a:b],
-                              np.repeat(np.arange(b - a), lengths[a:b]), flat[at[a]:at[b]],
-                              int((cols["own"][a:b] == cols["i"][a:b]).sum()), num, den)
-
-    def _spans(cols: dict) -> list[tuple[int, int]]:
-        new = np.zeros(len(cols["group"]), dtype=bool)
-        for c in ("group", "i", "j"):
-            new[1:] |= cols[c][1:] != cols[c][:-1]
-        starts = np.concatenate([[0], np.flatnonzero(new)]).tolist()
-        return list(zip(starts, [*starts[1:], len(new)]))
-
-    def out(found: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.concatenate([np.empty((0, 2), np.int64), *found])
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
-
-    def compare(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, new]) if held is not None else new
-            last = _spans({c: held.column(c).to_numpy() for c in ("group", "i", "j")})[-1][0]
-            if last:  # the last pair of blocks may go on in the next batch
-                yield out(list(pairs_of(held.slice(0, last))))
-                held = held.slice(last)
-        if held is not None:
-            yield out(list(pairs_of(held)))
-
-    return compare
-
-
-def _may_link(num: int, den: int):
-    """Pairs (a, b, xn, yn, x, y: bitmaps) whose bound reaches the threshold."""
-    def bound(batches):
-        for batch in batches:
-            cols = (batch.column(c).to_pylist() for c in ("xn", "yn", "x", "y"))
-            ok = [(xn + yn - differing_bits(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))) * (den + num)
-                  >= 2 * num * (xn + yn) for xn, yn, x, y in zip(*cols)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return bound
-
-
-def _check_pairs(num: int, den: int):
-    """Pairs (a, b, x, y: elements) that reach the threshold."""
-    def check(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                ok.append(len(np.intersect1d(x, y, assume_unique=True)) * (den + num) >= num * (len(x) + len(y)))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return check
-
-
-def _element_arrays(docs: DataFrame, wanted: DataFrame, n: int, broadcast_rows: int = 500_000) -> DataFrame:
-    """(class, elements) of the wanted (doc_id, class), from the texts again.
-
-    Up to ``broadcast_rows`` wanted ids (16 bytes each) are broadcast, so the
-    texts are not shuffled; beyond that both sides are.
-    """
-    def arrays(batches):
-        for whole in batches:
-            sizes = pa.compute.fill_null(pa.compute.binary_length(whole.column("text")), 0).to_pylist()
-            for a, b in runs(sizes, 1 << 21):
-                batch = whole.slice(a, b - a)
-                sets = shingle_sets(batch.column("text").to_pylist(), n)
-                ok = [class_of(s) == c for s, c in zip(sets, batch.column("class").to_pylist())]
-                yield pa.RecordBatch.from_pydict({
-                    "class": batch.column("class").filter(pa.array(ok, pa.bool_())),
-                    "elements": pa.array([s.tobytes() for s, good in zip(sets, ok) if good], pa.binary())})
-
-    wanted = materialise(wanted)
-    few = wanted.count() <= broadcast_rows
-    rows = docs.join(F.broadcast(wanted) if few else wanted, "doc_id").select("text", "class")
-    found = materialise(rows.mapInArrow(arrays, "class long, elements binary"))
-    if found.count() > found.select("class").distinct().count():  # repeated ids
-        found = materialise(found.dropDuplicates(["class"]))
-    return found
-
-
-def _open_groups(told: DataFrame) -> DataFrame:
-    """(group, class, joined, member, last, tiles) of larger tiles with more than one component.
-
-    ``told`` has tile, class, member, joined. Tiles that share members become
-    one group where its square is no more than the squares of its tiles.
-    """
-    tiles = materialise(told.groupBy("tile").agg(F.min("joined").alias("least"), F.max("joined").alias("most"),
-                                                 F.min("class").alias("head"), F.max("member").alias("last"))
-                        .where("least < most").select("tile", "head", "last"))
-    inside = materialise(told.join(tiles, "tile"))
-    if not inside.take(1):
-        return inside.select(F.col("tile").alias("group"), "class", "joined", "member", "last",
-                             F.array("tile").alias("tiles"))
-    near = components(inside.select("class", "head")).select(F.col("node").alias("of"), "component")
-    cost = tiles.join(near, F.col("head") == F.col("of")).groupBy("component").agg(
-        F.sum((F.col("last") + 1.0) * (F.col("last") + 1.0)).alias("by_tile"))
-    classes = inside.join(near, F.col("class") == F.col("of")).select("class", "joined", "component").distinct()
-    size = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    kind = materialise(cost.join(size, "component").select(
-        "component", "n", (F.col("n") * F.col("n") <= F.col("by_tile")).alias("whole")))
-    # a member's block is its number in a tile, or a hash in a joined group
-    joint = classes.join(kind.where("whole"), "component").select(
-        F.col("component").alias("group"), "class", "joined",
-        F.pmod(F.xxhash64("class"), F.col("n")).alias("member"), (F.col("n") - 1).alias("last"),
-        F.array().cast("array<bigint>").alias("tiles"))
-    # a class's open tiles are fewer than its parts; of two classes' common ones the first compares them
-    lists = inside.groupBy(F.col("class").alias("in_tiles")).agg(F.array_sort(F.collect_list("tile")).alias("tiles"))
-    rest = (inside.join(near, F.col("class") == F.col("of")).join(kind.where("not whole"), "component")
-            .join(lists, F.col("class") == F.col("in_tiles"))
-            .select(F.col("tile").alias("group"), "class", "joined", "member", "last",
-                    F.filter("tiles", lambda t: t < F.col("tile")).alias("tiles")))
-    return joint.union(rest)
+    return tiles
 
 
 def similarity_classes(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text", small_tile: int = 6, block: int = 512) -> DataFrame:
-    """doc_id, n_shingles, class, component_id of every document."""
-    bands = Bands(num, den)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = materialise(_profile(texts, n, bands))
-    dealt = (rows.select(F.explode("tiles").alias("tile"), "class").repartition("tile")
-             .sortWithinPartitions("tile", "class"))
-    found = materialise(dealt.mapInArrow(lambda b: _group_tiles(b, small_tile), "tile long, a long, b long, member long"))
-
-    classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
-    maps = rows.where("bits is not null").groupBy("class").agg(F.max("n_shingles").alias("n"), F.first("bits").alias("bits"))
-    members = found.where("member is not null").select("tile", F.col("a").alias("class"), "member")
-    pivots = F.array(F.min("class"), *[F.min_by("class", F.xxhash64("class", F.lit(k))) for k in range(2)])
-    heads = members.groupBy("tile").agg(F.array_distinct(pivots).alias("pivots"))
-    to_pivots = members.join(heads, "tile").select("class", F.explode("pivots").alias("pivot")).where("class != pivot").select(
-        F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
-    pairs = found.where("b is not null").select("a", "b").union(to_pivots).distinct()
-    x = maps.select(F.col("class").alias("a"), F.col("n").alias("xn"), F.col("bits").alias("x"))
-    y = maps.select(F.col("class").alias("b"), F.col("n").alias("yn"), F.col("bits").alias("y"))
-    alike = F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num
-    pairs = materialise(pairs.join(x, "a").join(y, "b").where(alike).mapInArrow(_may_link(num, den), "a long, b long"))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        arrays = _element_arrays(texts, wanted.join(classes, "class").select("class", "doc_id"), n)
-        x, y = (arrays.select(F.col("class").alias(c), F.col("elements").alias(e)) for c, e in (("a", "x"), ("b", "y")))
-        return pairs.join(x, "a").join(y, "b").mapInArrow(_check_pairs(num, den), "a long, b long")
-
-    joined = components(linked(pairs))
-
-    # larger tiles that the pivots left open: every pair of blocks is one task's work
-    told = materialise(members.join(joined, F.col("class") == F.col("node"), "left").select(
-        "tile", "class", "member", F.coalesce("component", "class").alias("joined")))
-    own = F.floor(F.col("member") / block).cast("int")
-    placed = _open_groups(told).select(
-        "group", "class", "joined", "tiles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / block).cast("int"))).alias("other"))
-    placed = placed.select("group", "class", "joined", "tiles", "own", F.least("own", "other").alias("i"),
-                           F.greatest("own", "other").alias("j"))
-
-    blocks = (placed.join(maps, "class").repartition("group", "i", "j")
-              .sortWithinPartitions("group", "i", "j", "own", "class"))
-    late = materialise(blocks.mapInArrow(_compare_blocks(num, den), "a long, b long")
-                       .distinct().join(pairs, ["a", "b"], "left_anti"))
-    if late.take(1):
-        joined = components(linked(late).union(joined.select("node", "component")))
-
-    # a component's name: the least document id of its classes
-    named = classes.select("class", "doc_id").join(joined, F.col("class") == F.col("node"), "left").select(
-        "class", "doc_id", F.coalesce("component", "class").alias("component"))
-    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
-    names = materialise(named.join(least, "component").select(F.col("class").alias("of"), "least"))
-    return rows.join(names, F.col("class") == F.col("of"), "left").select(
-        "doc_id", "n_shingles", "class", F.coalesce("least", "doc_id").alias("component_id"))
+                       text_col: str = "text", **options) -> DataFrame:
+    """doc_id, key, n_shingles, class, component, component_id, n_links of every document."""
+    found = linking.Profile(linking.text_rows(docs, id_col, text_col), n)
+    linked = linking.link(found, found.named(rare_elements(num, den)), num, den, **options)
+    return linking.document_links(found, linked)
 
 
-def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each component (the one with the least id).
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+             text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component: the one with the least id.
 
-    Of rows with that id and text one is kept; documents without words all stay.
+    Null ids come last; of rows with that id the one of the least key of id and
+    text stays, and one of fully repeated rows. Documents without words all stay.
     """
-    told = similarity_classes(docs, n, num, den, id_col, **options)
-    kept = materialise(told.where("component_id = doc_id or n_shingles = 0 or doc_id is null").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("size")))
-    text = F.col(options.get("text_col", "text"))
-    whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
-                        text.alias("text"))
-    rows = whole.join(kept, F.col("id").eqNullSafe(F.col("doc_id")))
-    again = (F.col("n") > 1) & (F.col("size") > 0)
-    if not kept.where(again).take(1):
-        return rows.select("row.*")
-    # repeated ids: one row of each text
-    single = rows.where(again).groupBy("id", F.sha2(F.col("text").cast("binary"), 256)).agg(F.first("row").alias("row"))
-    return rows.where(~again).select("row").union(single.select("row")).select("row.*")
+    told = similarity_classes(docs, n, num, den, id_col, text_col, **options)
+    return linking.keep_one_of_each(docs, told, id_col, text_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return similarity_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")

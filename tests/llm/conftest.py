@@ -1,7 +1,6 @@
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, row long, spans string, n_words long"
-EN = "the quick brown fox jumps over the lazy dog while seven wise owls watch from an old oak tree near the river bank"
+from odd_rows import EN, SCHEMA
 
 
 @pytest.fixture(scope="session")

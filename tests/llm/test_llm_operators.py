@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from gable.llm import (components, decontamination, language_id, mixing, ngram_join, quality_rules, secret_scan, sharding,
                        token_files, toxicity, warc)
 
+from odd_rows import EN
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -23,7 +25,6 @@ def rows_of(df, key="doc_id"):
 
 
 def test_decontamination(spark, odd_docs, no_docs):
-    from conftest import EN
     bench = items(spark, [EN, None, "", "one", EN])
     assert decontamination.scan_documents(no_docs, bench).count() == 0
     got = {r.row.doc_id: r for r in decontamination.scan_documents(odd_docs, bench).collect()}
@@ -104,14 +105,16 @@ def brute_components(docs, n, num, den):
             a = parent[a]
         return a
 
-    ids = sorted(sets)
+    ids, links = sorted(sets), dict.fromkeys(sets, 0)
     for x in range(len(ids)):
         for y in range(x):
             a, b = sets[ids[x]], sets[ids[y]]
             if a and b and len(a & b) * den >= num * len(a | b):
+                links[ids[x]] += 1
+                links[ids[y]] += 1
                 r, s = find(ids[x]), find(ids[y])
                 parent[max(r, s)] = min(r, s)
-    return {i: (len(sets[i]), find(i)) for i in ids}
+    return {i: (len(sets[i]), find(i), links[i]) for i in ids}
 
 
 @pytest.mark.parametrize("n, num", [(4, 85), (5, 80), (1, 50)])
@@ -125,11 +128,44 @@ def test_ngram_join_matches_brute_force(spark, n, num):
             docs.append((len(docs), " ".join(text)))
     docs += [(len(docs), None), (len(docs) + 1, "")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in
-           ngram_join.similarity_classes(df, n=n, num=num, small_tile=3, block=8).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in
+           ngram_join.similarity_classes(df, n=n, num=num, small_tile=3, block_rows=8).collect()}
     assert got == brute_components(docs, n, num, 100)
 
 
+def test_ngram_join_of_the_given_table_matches_brute_force(spark):
+    from gable.llm.common import table
+    df = table(spark, SMALL, "documents")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similarity_classes(df).collect()}
+    assert got == brute_components([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()], 4, 85, 100)
+
+
+def test_links_by_pairs_of_blocks_and_by_overlapping_groups(spark):
+    """One cluster whose members differ in size, cut into many blocks; chains of overlapping tiles."""
+    words = [f"w{k}" for k in range(400)]
+    docs = [(k, " ".join(words[a:a + 60 + k % 40])) for k, a in enumerate(list(range(0, 120)) + list(range(0, 120, 2)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for small, rows in ((2, 4), (4, 50), (500, 50)):
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similarity_classes(
+            df, n=2, num=80, small_tile=small, block_rows=rows, block_elements=rows * 90).collect()}
+        assert got == brute_components(docs, 2, 80, 100)
+
+
+def test_null_and_repeated_ids_link_and_one_of_each_component_stays(spark):
+    t = " ".join(f"t{k}" for k in range(40))
+
+    def kept(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(df).collect()), key=str)
+
+    assert kept([(1, t), (2, EN), (2, t + " z")]) == [(1, t), (2, EN)]
+    assert len(kept([(None, t), (None, t + " z"), (None, EN)])) == 2
+    assert kept([(None, t), (7, t + " z"), (7, t + " z"), (7, None), (7, None)]) == [(7, t + " z"), (7, None), (7, None)]
+    # a class of null ids alone is the bridge between two others
+    a, b, c = (" ".join(f"t{k}" for k in range(x, x + 60)) for x in (0, 4, 8))
+    assert kept([(5, a), (None, b), (6, c)]) == [(5, a)]
+
+
 def test_keep_one(odd_docs, no_docs):
     assert ngram_join.keep_one(no_docs).count() == 0
     kept = ngram_join.keep_one(odd_docs)
