@@ -16,6 +16,3 @@ def spark(tmp_path_factory):
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
-
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -1,7 +1,7 @@
 """Physical-plan properties: no Python UDF, lookups broadcast, filters and
 column pruning at the scan."""
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from gable.plans import catalog
 
 
@@ -45,9 +45,8 @@ def test_stage3_transform_does_not_shuffle_rows(spark):
 
 
 def test_no_cartesian_or_nested_loop_join_anywhere(spark):
-    import __spark_entry__ as entry
-    for name in sorted(entry.oracle_sql()):
-        df = entry.queries()[name](spark, SF_SMALL)
+    for name in sorted(catalog.ORACLE):
+        df = catalog.QUERIES[name](spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
         p = plan(df)
         assert "NestedLoop" not in p and "Cartesian" not in p and "EvalPython" not in p, name
