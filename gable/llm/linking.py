@@ -14,7 +14,8 @@ equal sets form a class. The steps, all over Spark tables:
 3. A pair that reaches the bound of two bitmaps is checked by intersecting the
    sorted arrays. Groups are cut into bands of set size and blocks of bounded
    bytes; only blocks whose sizes can meet are compared, each two of them in
-   one task. A pair is checked in the first group both are in, else as a pair.
+   one task, by bitmaps first and then by the arrays of those that may link. A
+   pair is checked in the first group both are in, else as a pair.
 4. Link counts are summed, and components found over all links.
 
 Nothing is capped or sampled. Arrays are made again from the texts of the
@@ -60,19 +61,20 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[pa.RecordBatch, list[
 # --- bit sets of keys ------------------------------------------------------
 
 class KeySet:
-    """A broadcast bit set of longs: never misses one, of others about one in 16 passes.
+    """A broadcast bit set of longs: never misses one, of others about one in 32 passes.
 
-    It has 16 bits a key, ``most`` at the most (32 MB); with more keys than that
+    It has 32 bits a key, ``most`` at the most (32 MB); with more keys than that
     more others pass, so every use checks again exactly.
     """
 
     def __init__(self, keys: DataFrame, most: int = 1 << 28):
         count = keys.count()
         self.bits = 1 << 16
-        while self.bits < min(most, 16 * count):
+        while self.bits < min(most, 32 * count):
             self.bits *= 2
         at = F.pmod(F.col(keys.columns[0]), F.lit(self.bits))
-        words = keys.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod({keys.columns[0]}, {self.bits}) & 63 as int))").alias("bit"))
+        bit = F.expr(f"shiftleft(1L, cast(pmod({keys.columns[0]}, {self.bits}) & 63 as int))")
+        words = keys.select(F.shiftright(at, 6).alias("word"), bit.alias("bit"))
         found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
         held = np.zeros(self.bits // 64, dtype=np.int64)
         held[found.column("word").to_numpy()] = found.column("bits").to_numpy()
@@ -121,7 +123,7 @@ def _profile(texts: DataFrame, n: int, salt: int, tiles: Tiles | None, cells: in
         for batch in batches:
             for rows, sets in _sets(batch, n):
                 known = [digest(s, salt) if len(s) else (None, None) for s in sets]
-                maps, names = [], []
+                maps, names, counted = [], [], [np.empty(0, np.uint64)]
                 for s, (c, _) in zip(sets, known):
                     new = c is not None and c not in seen  # copies of a text cost one list a task
                     seen.add(c)
@@ -131,7 +133,8 @@ def _profile(texts: DataFrame, n: int, salt: int, tiles: Tiles | None, cells: in
                         named = tiles(s)
                     names.append(named.view(np.int64) if new and tiles else None)
                     if new:
-                        hits += np.bincount(_cells(named, cells), minlength=cells)
+                        counted.append(named)
+                hits += np.bincount(_cells(np.concatenate(counted), cells), minlength=cells)
                 size = rows.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("key"), pa.array([len(s) for s in sets], pa.int64()),
@@ -218,26 +221,34 @@ class Profile:
         return self.rows.where("tiles is not null").select("tiles", "class").mapInArrow(deal, "tile long, part int, class long")
 
     def arrays(self, wanted: DataFrame) -> DataFrame:
-        """(class, elements) of the wanted classes at least, from the texts again."""
+        """(class, elements) of the wanted classes, from the texts again."""
         n, salt = self.n, self.salt
-        keys = KeySet(wanted.join(self.classes.select("class", "key"), "class").select("key"))
+        wanted = materialise(wanted.join(self.classes.select("class", "key"), "class").select("class", "key"))
+        keys = KeySet(wanted.select("key"))
 
         def arrays(batches):
             seen = set()
             for whole in batches:
                 kept = whole.filter(pa.array(keys.mask(whole.column("key").to_numpy())))
-                for _, sets in _sets(kept, n):
+                for rows, sets in _sets(kept, n):
                     new = []
-                    for s in sets:
+                    for key, s in zip(rows.column("key").to_pylist(), sets):
                         c = digest(s, salt)[0] if len(s) else None
-                        if c is not None and c not in seen:
-                            seen.add(c)
-                            new.append((c, s.tobytes()))
-                    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in new], pa.int64()),
-                                                      pa.array([e for _, e in new], pa.binary())], names=["class", "elements"])
+                        if c is not None and (c, key) not in seen:
+                            seen.add((c, key))
+                            new.append((c, key, s.tobytes()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([c for c, _, _ in new], pa.int64()), pa.array([k for _, k, _ in new], pa.int64()),
+                         pa.array([e for _, _, e in new], pa.binary())], names=["class", "key", "elements"])
 
-        found = materialise(self.texts.select("text", "key").mapInArrow(arrays, "class long, elements binary"))
-        return found.dropDuplicates(["class"]) if found.count() > found.select("class").distinct().count() else found
+        # what the bit set let pass beside the wanted keys goes with the join
+        found = materialise(self.texts.select("text", "key").mapInArrow(arrays, "class long, key long, elements binary"))
+        out = found.join(wanted, ["class", "key"]).select("class", "elements")
+        out._step = found._step
+        if found.select("class", "key").join(wanted, ["class", "key"]).count() > wanted.count():  # repeated rows
+            out = materialise(out.dropDuplicates(["class"]))
+            discard(found)
+        return out
 
 
 # --- step 2: tiles, pairs and groups ---------------------------------------
@@ -335,39 +346,45 @@ def _blocks(groups: DataFrame, num: int, den: int, rows: int, elements: int) ->
 
 # --- step 3: checks --------------------------------------------------------
 
-def compare_block(classes: np.ndarray, copies: np.ndarray, first: np.ndarray, second: np.ndarray,
-                  earlier: list, elements: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """For classes of two blocks (or one): the class each is joined to, and the documents it links with.
+def near_rows(sizes: np.ndarray, maps: list[np.ndarray], first: np.ndarray, second: np.ndarray, earlier: list,
+              num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(r, rows after r that may link with it) for sets in order of size, by bitmaps (see :func:`bitmap`).
 
-    Sets are in order of size. Pairs that share an earlier group are left to it.
+    Pairs are of two blocks (or one, if all rows are in both); those that share an earlier group are left to it.
     """
+    before = [frozenset(e) if e is not None and len(e) else None for e in earlier]
+    shared = np.array([e is not None for e in before], dtype=bool)
+    ends = np.searchsorted(sizes, sizes * den // num, side="right")
+    widths = np.array([len(m) for m in maps])
+    for width in np.unique(widths).tolist():
+        # bitmaps grow with sets: partners have this width or the next ones, which are folded to it
+        start, stop = np.searchsorted(widths, width), np.searchsorted(widths, width, side="right")
+        last = int(ends[start:stop].max())
+        rows = np.vstack([np.bitwise_xor.reduce(m.reshape(-1, width)) if len(m) > width else m for m in maps[start:last]])
+        rows = rows.view(np.uint64)
+        for r in range(start, stop):
+            y = np.arange(r + 1, ends[r])
+            y = y[(first[r] & second[y]) | (second[r] & first[y])]
+            both = sizes[r] + sizes[y]
+            differ = np.bitwise_count(rows[r - start] ^ rows[y - start]).sum(axis=1, dtype=np.int64)
+            y = y[(both - differ) * (den + num) >= 2 * num * both]
+            if shared[r] and len(y):
+                y = y[[not (shared[k] and before[r] & before[k]) for k in y.tolist()]]
+            if len(y):
+                yield r, y
+
+
+def compare_block(classes: np.ndarray, copies: np.ndarray, first: np.ndarray, second: np.ndarray,
+                  earlier: list, elements: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """For classes of two blocks (or one), by size: the class each is joined to, and the documents it links with."""
     sizes = np.array([len(e) for e in elements])
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    flat = np.concatenate(elements)
-    bits = 256
-    while bits < min(1 << 15, int(np.median(sizes))):
-        bits *= 2
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    hits = np.bincount(owner * bits + (flat & np.uint64(bits - 1)).astype(np.int64), minlength=len(sizes) * bits)
-    maps = np.packbits((hits & 1).astype(np.uint8).reshape(len(sizes), bits), axis=1).view(np.uint64)
-    vocabulary, ids = np.unique(flat, return_inverse=True)
+    vocabulary, ids = np.unique(np.concatenate(elements), return_inverse=True)
     mark = np.zeros(len(vocabulary), dtype=np.uint8)
-    before = [frozenset(e) if e is not None and len(e) else None for e in earlier]
-    shared = np.array([e is not None for e in before])
     label, links = np.arange(len(sizes)), np.zeros(len(sizes), dtype=np.int64)
-    ends = np.searchsorted(sizes, sizes * den // num, side="right")
-    for r in range(len(sizes) - 1):
-        y = np.arange(r + 1, ends[r])
-        y = y[(first[r] & second[y]) | (second[r] & first[y])]
-        both = sizes[r] + sizes[y]
-        differ = np.bitwise_count(maps[r] ^ maps[y]).sum(axis=1, dtype=np.int64)
-        y = y[(both - differ) * (den + num) >= 2 * num * both]
-        if shared[r]:
-            y = y[[not (shared[k] and before[r] & before[k]) for k in y.tolist()]] if len(y) else y
-        if not len(y):
-            continue
+    for r, y in near_rows(sizes, [bitmap(e) for e in elements], first, second, earlier, num, den):
         mark[ids[starts[r]:starts[r + 1]]] = 1
-        if len(y) * 4 > len(sizes) - r:  # marks of all arrays from the first to the last
+        if len(y) * 4 > y[-1] - y[0]:  # marks of all arrays from the first to the last
             span = mark[ids[starts[y[0]]:starts[y[-1] + 1]]]
             common = np.add.reduceat(span, starts[y[0]:y[-1] + 1] - starts[y[0]], dtype=np.int64)[y - y[0]]
         else:
@@ -383,11 +400,32 @@ def compare_block(classes: np.ndarray, copies: np.ndarray, first: np.ndarray, se
     return classes[label], links
 
 
+def _by_size(held: pa.Table) -> pa.Table:
+    """A row of each class, in order of set size."""
+    _, at = np.unique(held.column("class").to_numpy(), return_index=True)
+    return held.take(pa.array(at[np.argsort(held.column("n").to_numpy()[at], kind="stable")]))
+
+
+def _bound(num: int, den: int):
+    """Of the classes in a pair of blocks those that may link with another one there."""
+    def bound(held: pa.Table) -> pa.Table:
+        held = _by_size(held)
+        maps = [np.frombuffer(m, np.uint8) for m in held.column("bits").to_pylist()]
+        near = np.zeros(held.num_rows, dtype=bool)
+        for r, y in near_rows(held.column("n").to_numpy(), maps, held.column("first").to_numpy(),
+                              held.column("second").to_numpy(), held.column("earlier").to_pylist(), num, den):
+            near[r] = True
+            near[y] = True
+        held = held.drop_columns(["bits"]).filter(pa.array(near))
+        lists = held.column("earlier").cast(pa.list_(pa.field("element", pa.int64())))
+        return held.set_column(held.column_names.index("earlier"), "earlier", lists)
+
+    return bound
+
+
 def _compare(num: int, den: int):
     def compare(held: pa.Table) -> pa.Table:
-        classes, at = np.unique(held.column("class").to_numpy(), return_index=True)
-        at = at[np.argsort(held.column("n").to_numpy()[at], kind="stable")]
-        held = held.take(pa.array(at))
+        held = _by_size(held)
         elements = [np.frombuffer(e, np.uint64) for e in held.column("elements").to_pylist()]
         joined, links = compare_block(*(held.column(c).to_numpy() for c in ("class", "copies", "first", "second")),
                                       held.column("earlier").to_pylist(), elements, num, den)
@@ -442,16 +480,20 @@ def link(found: Profile, named: DataFrame, num: int, den: int, small_tile: int =
     pairs = materialise(pairs.select("a", "b", "ac", "bc", "an", "bn", "x", "y")
                         .mapInArrow(_may_link(num, den), "a long, b long, ac long, bc long"))
 
+    # groups: bitmaps of two blocks first, arrays only of classes that may link there
+    held = groups.join(classes.select("class", "n", "copies", "groups"), "class").select(
+        "group", "class", "n", "copies", F.filter("groups", lambda g: g < F.col("group")).alias("earlier"))
+    blocks = _blocks(held, num, den, block_rows, block_elements)
+    shape = ", ".join(f"`{c}` {t}" for c, t in blocks.dtypes)
+    blocks = materialise(blocks.join(classes.select("class", "bits"), "class").select(*blocks.columns, "bits")
+                         .groupBy("group", "x", "i", "y", "j").applyInArrow(_bound(num, den), shape))
+
     wanted = materialise(pairs.select(F.col("a").alias("class")).union(pairs.select("b"))
-                         .union(groups.select("class")).distinct())
+                         .union(blocks.select("class")).distinct())
     arrays = found.arrays(wanted)
     x, y = (arrays.select(F.col("class").alias(c), F.col("elements").alias(e)) for c, e in (("a", "x"), ("b", "y")))
     links = materialise(pairs.join(x, "a").join(y, "b").mapInArrow(_check(num, den), "a long, b long, ac long, bc long"))
-
-    earlier = groups.join(classes.select("class", "n", "copies", "groups"), "class").select(
-        "group", "class", "n", "copies", F.filter("groups", lambda g: g < F.col("group")).alias("earlier"))
-    blocks = _blocks(earlier, num, den, block_rows, block_elements).join(arrays, "class")
-    met = materialise(blocks.groupBy("group", "x", "i", "y", "j").applyInArrow(
+    met = materialise(blocks.join(arrays, "class").groupBy("group", "x", "i", "y", "j").applyInArrow(
         _compare(num, den), "class long, joined long, links long"))
 
     counts = (links.select(F.col("a").alias("class"), F.col("bc").alias("links"))
@@ -463,7 +505,7 @@ def link(found: Profile, named: DataFrame, num: int, den: int, small_tile: int =
                       .join(counts, "class", "left")
                       .select("class", "least", F.coalesce("component", "class").alias("component"),
                               F.coalesce("links", F.lit(0)).alias("links")))
-    discard(split, groups, pairs, wanted, arrays, links, met)
+    discard(split, groups, pairs, blocks, wanted, arrays, links, met)
     return out
 
 
