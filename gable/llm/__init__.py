@@ -1,6 +1,6 @@
 """Training-data operators: decontamination, sharding, mixing, toxicity,
-n-gram joins, secret scans, token files, WARC bundles, language id and
-quality rules. Nothing else in the library imports this subpackage."""
+n-gram joins, secret scans, token files, WARC bundles, language id, quality
+rules, periodic runs, MinHash near duplicates and spelling variants. Nothing else in the library imports this subpackage."""
 
 import sys
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from gable.llm import decontamination, language_id, mixing, ngram_join, quality_rules, secret_scan, sharding, token_files, toxicity, warc
+from gable.llm import (decontamination, language_id, minhash, mixing, ngram_join, periodic_runs, quality_rules, secret_scan, sharding,
+                       spelling, token_files, toxicity, warc)
 from gable.llm.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -17,6 +18,9 @@ QUERIES: dict[str, Query] = {
     "op8_warc_bundles": warc.query,
     "op9_language_id": language_id.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_periodic_runs": periodic_runs.query,
+    "op12_minhash": minhash.query,
+    "op13_spelling": spelling.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
