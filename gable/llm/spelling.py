@@ -112,7 +112,7 @@ def _walk(words: DataFrame, levels: int) -> DataFrame:
     word, position, node = F.col("word"), F.col("position"), F.col("node")
     letter = F.substring(word, position + 1, F.lit(1))  # position counts the mark
     at_end = position == F.length(word)
-    states = spelled.select(*state(F.col("spelled"), F.col("start"), F.substring("spelled", F.lit(1), F.col("start")), 0))
+    states = spelled.select(*state(F.col("spelled"), F.col("start"), F.substring("spelled", F.lit(1), F.col("start")), 0)).where(~at_end)
     tables = []
     while states.take(1):
         whole, edited = states.where("edits = 0"), states.where("edits = 1")
