@@ -5,12 +5,13 @@
    node is the string that leads to it, so the table needs no numbers and is
    built by one distinct.
 3. A frontier of states (word, position, node, edits) is joined with the edge table
-   level by level. A state without an edit may go on along its own word,
-   replace a letter (any other edge of its node) or drop one (the node stays);
-   a state with its edit has to find the edge of its next letter. A state at its
-   word's end whose node is itself a word is a neighbour. Insertions are
-   deletions of the longer word, so each pair is found from one side at least and
-   read from both.
+   level by level. A state without an edit goes on along its own word (it needs no
+   join: every prefix of a word is a node), replaces a letter (any other edge of
+   its node) or drops one (the node stays). A state with its edit, new or not, has to find
+   the edge of its next letter, and only those that do are written. At its word's end
+   it has to find the edge without a letter, which the nodes of whole words have:
+   that is a neighbour. Insertions are deletions of the longer word, so
+   each pair is found from one side at least and read from both.
 4. An edit lies in one half of a word. Words are spelled forwards and
    backwards (marked ``>`` and ``<``), and a state starts behind the first half,
    at the node its own letters lead to. So no state branches near the root,
@@ -28,6 +29,7 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 
@@ -99,36 +101,37 @@ def _halves(words: DataFrame) -> DataFrame:
 def _walk(words: DataFrame, levels: int) -> DataFrame:
     """(word, near): pairs of which the first has at most ``levels`` letters and the second no more than the first."""
     spelled = materialise(_halves(words.where(F.length("word") <= levels)))
-    # edges of a word behind its first half; a shorter neighbour's states start no earlier
-    at = F.explode(F.sequence(F.floor((F.length("spelled") - 1) / 2).cast("int") + 1, F.length("spelled") - 1))
+    # edges of a word behind its first half (a shorter neighbour's states start no earlier), and one without a letter at its end
+    at = F.explode(F.sequence(F.floor((F.length("spelled") - 1) / 2).cast("int") + 1, F.length("spelled")))
     edges = spelled.select("spelled", at.alias("at")).select(
         F.substring("spelled", F.lit(1), F.col("at")).alias("node"),
         F.substring("spelled", F.col("at") + 1, F.lit(1)).alias("ch"))
     edges = materialise(edges.distinct())
 
-    def state(word, position, node, edits):
-        return [word.alias("word"), position.cast("int").alias("position"), node.alias("node"), F.lit(edits).alias("edits")]
-
     word, position, node = F.col("word"), F.col("position"), F.col("node")
-    letter = F.substring(word, position + 1, F.lit(1))  # position counts the mark
-    at_end = position == F.length(word)
-    states = spelled.select(*state(F.col("spelled"), F.col("start"), F.substring("spelled", F.lit(1), F.col("start")), 0)).where(~at_end)
-    tables = []
-    while states.take(1):
-        whole, edited = states.where("edits = 0"), states.where("edits = 1")
-        on = whole.select(*state(word, position + 1, F.concat(node, letter), 0))
-        dropped = whole.select(*state(word, position + 1, node, 1))
-        replaced = whole.join(edges, "node").where(F.col("ch") != letter).select(
-            *state(word, position + 1, F.concat(node, "ch"), 1))
-        kept = edited.withColumn("ch", letter).join(edges, ["node", "ch"], "left_semi").select(
-            *state(word, position + 1, F.concat(node, "ch"), 1))
-        tables.append(materialise(on.union(dropped).union(replaced).union(kept)))
-        states = tables[-1].where(~at_end)
+    letter, following = (F.substring(word, position + k, F.lit(1)) for k in (1, 2))  # position counts the mark; "" beyond the end
+    going, tables = None, []
+    for level in itertools.count():
+        whole = spelled.where(F.col("start") + level < F.length("spelled")).select(
+            F.col("spelled").alias("word"), (F.col("start") + level).alias("position"),
+            F.substring("spelled", F.lit(1), F.col("start") + level).alias("node"))
+        on = bool(whole.take(1))
+        if not on and (going is None or not going.take(1)):
+            break
+        # the next one of equal letters is dropped, not this one
+        edited = whole.where(letter != following).select(word, (position + 1).alias("position"), node).union(
+            whole.join(edges, "node").where((F.col("ch") != letter) & (F.col("ch") != "")).select(
+                word, (position + 1).alias("position"), F.concat(node, "ch").alias("node")))
+        if going is not None:
+            edited = edited.union(going) if on else going
+        new = materialise(edited.withColumn("ch", letter).join(edges, ["node", "ch"], "left_semi").select(
+            word, (position + 1).alias("position"), F.concat(node, "ch").alias("node")))
+        tables.append(new)
+        going = new.where(position <= F.length(word))
     found = spelled.select("spelled", F.lit("").alias("node")).where("false")
-    for level in tables:
-        found = found.union(level.where(at_end & (F.col("edits") == 1)).select("word", "node"))
-    pairs = found.toDF("word", "node").select(_plain("word").alias("word"), _plain("node").alias("near"))
-    pairs = materialise(pairs.join(words.select(F.col("word").alias("near")), "near", "left_semi").select("word", "near").distinct())
+    for new in tables:
+        found = found.union(new.where(position > F.length(word)).select("word", "node"))
+    pairs = materialise(found.select(_plain("spelled").alias("word"), _plain("node").alias("near")).distinct())
     discard(spelled, edges, *tables)
     return pairs
 
