@@ -40,7 +40,7 @@ from gable.llm.shingles import bitmap, differing_bits, digest, shingle_sets
 
 Tiles = Callable[[np.ndarray], np.ndarray]
 
-_PIECE = 1 << 21  # bytes of text turned to sets at once
+_PIECE = 1 << 20  # bytes of text turned to sets at once
 _BLOCK_ROWS, _BLOCK_ELEMENTS = 1024, 1 << 19
 
 

@@ -7,7 +7,7 @@ import xxhash
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_PIECE = 1 << 20  # bytes of words hashed at once
+_PIECE = 1 << 18  # bytes of words hashed at once
 _MOST_BITS = 1 << 17
 
 
