@@ -16,13 +16,19 @@ documents hold and toxic ones do not. The score is a logistic function of the
 matched weight, as it stands and per hundred words, fitted on the same rows.
 
 Learning is bounded: ``max_toxic`` toxic and ``max_clean`` clean documents,
-chosen by a hash of the id; ``max_exceptions`` learned exceptions (those with
-the most support). Every term of these documents that qualifies is in the
-lexicon. Scoring reads every whole text.
+chosen by a hash of the id. Every term and every exception of these documents that
+qualifies is in the lexicon. Scoring reads every whole text.
+
+Words and stems have four letters at least (shorter words are no terms). Every sign
+that is no letter or digit, of any script, is a blank. In scripts written without
+blanks (Han, Kana, Thai, Lao, Khmer, Myanmar) every letter is a word of its own,
+and a term is two or three of them in a row.
 
 Defined results: null and empty texts match nothing and get the lowest
 score; null labels are not learned from; where no toxic or no clean row is
-labelled all scores are 0; other columns are ignored.
+labelled, or the table of documents or of labels is empty, all scores are 0; of
+copies of a text one is learned from, toxic if any is; repeated rows are scored each;
+a text of any length is one automaton pass; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,6 +57,8 @@ HOMOGLYPHS = {
 SIGNS = {"a": "4@", "b": "8", "e": "3", "g": "9", "i": "1l", "o": "0", "s": "5$", "t": "7"}
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 _STEMS = range(4, 9)
+_SOLID = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff])")
+_SIGN = re.compile(r"[^\w ]|_")
 
 
 def folding() -> dict[int, str | None]:
@@ -66,16 +74,25 @@ def folding() -> dict[int, str | None]:
 
 
 def fold(text: str | None, table: dict) -> str:
-    return f" {text.lower().translate(table)} " if text else " "
+    if not text:
+        return " "
+    folded = text.lower().translate(table)
+    if not folded.isascii():  # the table has the ASCII signs
+        folded = _SOLID.sub(r" \1 ", _SIGN.sub(" ", folded))
+    return f" {folded} "
 
 
 def terms_of(folded: str) -> set[str]:
     """Stems and whole words of a folded text, each with its leading blank."""
-    out = set()
-    for word in set(folded.split()):
+    out, words = set(), folded.split()
+    for word in set(words):
         if len(word) >= _STEMS[0] and not word.isdigit():
             out.add(f" {word} ")
             out.update(f" {word[:k]}" for k in _STEMS if k <= len(word))
+    if not folded.isascii():  # two and three letters in a row of a script without blanks
+        solid = [bool(_SOLID.fullmatch(w)) for w in words]
+        for n in (2, 3):
+            out.update(f" {' '.join(words[k:k + n])} " for k in range(len(words) - n + 1) if all(solid[k:k + n]))
     return out
 
 
@@ -167,8 +184,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         max_toxic: int = 4_000, max_clean: int = 4_000, min_share: float = 0.004, min_documents: int = 4,
-        min_odds: float = 2.5, exceptions: tuple[str, ...] = (), max_exceptions: int = 1_000,
-        ) -> Model:
+        min_odds: float = 2.5, exceptions: tuple[str, ...] = ()) -> Model:
     """Learn lexicon, exceptions and score (see the module's docstring)."""
     given = labels.where(F.col(label_col).isin(0, 1) & ~is_held_out(F.col(id_col))).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"),
@@ -205,8 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             out |= {f"{word} {after}"} if after else set()
         return out
 
-    spared = [r.term for r in count_terms(sample, phrases).where("clean >= 3 and toxic = 0")
-              .orderBy(F.desc("clean"), "term").limit(max_exceptions).collect()]
+    # phrases of a term's neighbours in at most max_clean documents, in three of them at least: bounded as the sample is
+    spared = [r.term for r in count_terms(sample, phrases).where("clean >= 3 and toxic = 0").orderBy("term").collect()]
     matcher = Matcher(weights, [*exceptions, *spared])
     shared = Shared(spark, matcher)
 
