@@ -23,6 +23,7 @@ gives no file and no row; other columns are ignored whatever their names.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -224,21 +225,44 @@ class Pieces(dict):
         self.clear()
 
 
+def cuts_at_blanks(description: dict) -> bool:
+    """Whether a tokenizer lower-cases, drops white space and splits a closing point or comma off a word.
+
+    Read from its own description (the JSON it is saved as). Every step has to be a known
+    one; anything else, like a splitter that keeps blanks or a model that sees more than a
+    word, means no.
+    """
+    normal, split = description.get("normalizer") or {}, description.get("pre_tokenizer") or {}
+    steps = normal.get("normalizers", [normal]) if normal else []
+    kinds = [s.get("type") for s in steps]
+    blanks = all(s.get("pattern") == {"Regex": r"\s+"} and s.get("content") == " " for s in steps if s.get("type") == "Replace")
+    first, *rest = split.get("pretokenizers", [split])
+    words = (first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed"
+             and first.get("pattern", {}).get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"))
+    plain = all(s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex") for s in rest)
+    special = all(t.get("special") and t.get("content", "").startswith("<|") and not t.get("lstrip") and not t.get("rstrip")
+                  for t in description.get("added_tokens", ()))
+    return bool("Lowercase" in kinds and set(kinds) <= {"NFC", "Replace", "Lowercase"} and blanks and words and plain and special)
+
+
 class Encoder:
-    """Encodes texts piece by piece, remembering pieces already encoded.
+    """Encodes texts, piece by piece where the tokenizer's description allows it.
 
-    A piece is a run without white space; the tokenizer drops white space and
+    If :func:`cuts_at_blanks` holds, a piece is a run without white space: the tokenizer drops white space and
     never merges across it, so the ids of a text are the ids of its pieces in
     order. It also lower-cases, and cuts a closing point or comma off a word,
     so pieces are looked up lower-cased and words share their ids with and
     without one. Two generations of up to ``limit`` pieces are remembered: when
     the young one is full it becomes the old one, so frequent pieces stay.
+    Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, end_id: int, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.known = Pieces(Tokenizer.from_file(path))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.by_piece = cuts_at_blanks(json.loads(self.tokenizer.to_str()))
+        self.known = Pieces(self.tokenizer) if self.by_piece else {}
         self.end = struct.pack("<I", end_id)
         self.limit = limit
 
@@ -251,7 +275,12 @@ class Encoder:
             return _PIECES.findall(text)
         return text.split()
 
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_piece:
+            return [self.whole(text) + self.end if text else self.end for text in texts]
         out = []
         for text in texts:
             out.append(b"".join(map(self.known.__getitem__, self.pieces(text))) + self.end if text else self.end)
