@@ -332,3 +332,42 @@ def test_encoder_takes_the_whole_way_when_the_model_differs():
 
     known = token_files.Pieces(Other())
     assert known.model is None and np.frombuffer(known["abc"], "<u4").tolist() == [3]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_gives_the_ids_of_every_tokenizer_of_the_package(spark, name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from gable.llm.common import table
+
+    path = public_tokenizers.path(name)
+    whole, encoder = Tokenizer.from_file(path), token_files.Encoder(path, 1)
+    texts = [r.text for r in table(spark, SMALL, "documents").select("text").limit(120).collect()]
+    texts += [None, "", " a  b", "Don't STOP.\n\tx", "a<|endoftext|>b", "naïve İstanbul ΣΑΣ", "x\x1cy", "1234 12.5, ..", "日本語 テスト"]
+    for text, got in zip(texts, encoder.encode(texts)):
+        want = whole.encode(text, add_special_tokens=False).ids if text else []
+        assert np.frombuffer(got, "<u4").tolist() == [*want, 1], text
+    assert encoder.by_piece == (name == "word_bpe_49k.json")
+
+
+def test_toxicity_learns_quoted_words_and_scripts_without_blanks(spark):
+    bad, docs = ("zogar", "\u201czogar\u201d", "\u574f\u86cb"), []
+    for k in range(300):
+        words = f"some calm words here number {k}"
+        docs.append((k, f"{words} {bad[k // 2 % 3]} you" if k % 2 else f"{words} \u597d\u4eba fine"))
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(300)], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(df, labels)
+    score = lambda t: model.score(t)[0]
+    assert score("a \u201cZOGAR\u201d b") > 0.5 and score("zogar") > 0.5 and score("\u4f60\u574f\u86cb\u4e86") > 0.5
+    assert score("zoggerat is calm") < 0.5 and score("calm words") < 0.5 and score("\u597d\u4eba") < 0.5
+    assert toxicity.fit(df.where("false"), labels).score("zog") == (0.0, 0)
+    assert not any("\u201c" in t for t in model.weights)
+
+
+def test_toxicity_held_out_accuracy(spark):
+    from gable.llm.common import table
+    sf = "/root/testdata/sf0.1"
+    told = toxicity.query(spark, sf).join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id").where("held_out and toxic is not null")
+    n = {(r.toxic, r.predicted): r["count"] for r in told.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] >= 0.9 * (n[1, 1] + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.01 * n[0, 0]
