@@ -492,7 +492,7 @@ def q_geo_chain(spark, d):
 
 _INCOME_SQL = """
 inc AS (SELECT s_nationkey, CAST(SUM(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS v
-        FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey),
+        FROM supplier GROUP BY s_nationkey),
 src AS (SELECT lower(n.n_name) AS a, lower(r.r_name) AS b, inc.v
         FROM inc JOIN nation n ON n.n_nationkey = inc.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey),
 stacked AS (SELECT a AS name, v, 0 AS prio FROM src UNION ALL SELECT b, v, 1 FROM src),
@@ -511,7 +511,7 @@ joined AS (SELECT g.c_custkey, g.c_nationkey, coalesce(l1.v, pg.v) AS median_inc
 
 def _income_lookup(spark, d):
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
-    inc = (table(spark, d, "supplier").where(F.col("s_acctbal") > 5000).groupBy("s_nationkey")
+    inc = (table(spark, d, "supplier").groupBy("s_nationkey")
            .agg((F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("median_income")))
     src = (inc.join(nation, inc.s_nationkey == nation.n_nationkey)
            .join(region, nation.n_regionkey == region.r_regionkey)

@@ -104,7 +104,7 @@ def income_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Two-name income lookup: supplier balance per nation, named by the
     nation (first language) and its region (second language)."""
     nation, region = _t(spark, d, "nation"), _t(spark, d, "region")
-    inc = (_t(spark, d, "supplier").where(F.col("s_acctbal") > 5000).groupBy("s_nationkey")
+    inc = (_t(spark, d, "supplier").groupBy("s_nationkey")
            .agg((F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("median_income")))
     src = (inc.join(nation, inc.s_nationkey == nation.n_nationkey)
            .join(region, nation.n_regionkey == region.r_regionkey)
