@@ -98,13 +98,13 @@ class KeySet:
 class Cells:
     """Counts by hash cell: an order of names from rare to common, and the names that may make a large tile."""
 
-    def __init__(self, counts: np.ndarray):
-        self.counts, self.limit = counts, max(4096, int(4 * counts.mean()))
+    def __init__(self, counts: np.ndarray, tile_rows: int = 4096):
+        self.counts, self.limit = counts, max(tile_rows, int(4 * counts.mean()))
 
     def of(self, names: np.ndarray) -> np.ndarray:
         return self.counts[_cells(names, len(self.counts))]
 
-    def parts(self, names: np.ndarray, row: int) -> np.ndarray:
+    def parts(self, names: np.ndarray, row: int | np.ndarray) -> np.ndarray:
         """0 for a name of few rows; else one of as many parts as bound a part's rows."""
         hits = self.of(names)
         return np.where(hits > self.limit, 1 + (row & 0xFFFFFF) % np.maximum(1, -(-hits // self.limit)), 0)
@@ -114,7 +114,7 @@ def _cells(names: np.ndarray, cells: int) -> np.ndarray:
     return ((names >> np.uint64(20)) % np.uint64(cells)).astype(np.int64)
 
 
-def _profile(texts: DataFrame, n: int, salt: int, tiles: Tiles | None, cells: int) -> DataFrame:
+def _profile(texts: DataFrame, n: int, salt: int, tiles: Tiles | None, cells: int, counted_names: int | None) -> DataFrame:
     schema = ("doc_id long, key long, n_shingles long, class long, proof long, bits binary, tiles array<long>, "
               "cell int, hits long")
 
@@ -133,7 +133,7 @@ def _profile(texts: DataFrame, n: int, salt: int, tiles: Tiles | None, cells: in
                         named = tiles(s)
                     names.append(named.view(np.int64) if new and tiles else None)
                     if new:
-                        counted.append(named)
+                        counted.append(named[:counted_names] if tiles else named)
                 hits += np.bincount(_cells(np.concatenate(counted), cells), minlength=cells)
                 size = rows.num_rows
                 yield pa.RecordBatch.from_arrays(
@@ -156,13 +156,16 @@ class Profile:
     """Rows (doc_id, key, n_shingles, class), classes (class, n, copies, least doc_id, key, bits) and cells of texts.
 
     A class is named by 64 bits of its set's hash; 64 more prove that no two
-    sets share a name, else the names are salted anew.
+    sets share a name, else the names are salted anew. Of the names that
+    ``tiles`` makes, the first ``counted`` (None: all) are counted by cell and name tiles.
+    Names of more than about ``tile_rows`` rows are dealt over several partitions.
     """
 
-    def __init__(self, texts: DataFrame, n: int, tiles: Tiles | None = None, cells: int = 1 << 16):
-        self.texts, self.n, self.salt = texts, n, 0
+    def __init__(self, texts: DataFrame, n: int, tiles: Tiles | None = None, cells: int = 1 << 16,
+                 counted: int | None = None, tile_rows: int = 4096):
+        self.texts, self.n, self.salt, self.counted = texts, n, 0, counted
         while True:
-            self.table = materialise(_profile(texts, n, self.salt, tiles, cells))
+            self.table = materialise(_profile(texts, n, self.salt, tiles, cells, counted))
             self.rows = self.table.where("cell is null").select("doc_id", "key", "n_shingles", "class", "tiles")
             self.classes = materialise(self.table.where("class is not null").groupBy("class").agg(
                 F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"),
@@ -174,7 +177,7 @@ class Profile:
         counts = np.zeros(cells, dtype=np.int64)
         hits = self.table.where("cell is not null").groupBy("cell").agg(F.sum("hits").alias("hits")).toArrow()
         counts[hits.column("cell").to_numpy()] = hits.column("hits").to_numpy()
-        self.cells = Shared(texts.sparkSession, Cells(counts))
+        self.cells = Shared(texts.sparkSession, Cells(counts, tile_rows))
 
     def named(self, tiles: Callable[[np.ndarray, Cells], np.ndarray]) -> DataFrame:
         """(tile, part, class) from the texts again, names by a function of a set and the cells."""
@@ -203,22 +206,26 @@ class Profile:
         return self.texts.select("text").mapInArrow(name, "tile long, part int, class long")
 
     def stored(self) -> DataFrame:
-        """(tile, part, class) of the names that the profile holds."""
-        cells = self.cells
+        """(tile, part, class, rest) of the counted names that the profile holds; rest: the class's other names."""
+        cells, counted = self.cells, self.counted
 
         def deal(batches):
             for batch in batches:
                 lists = batch.column("tiles")
-                sizes = pa.compute.list_value_length(lists).to_numpy()
-                names, of = lists.flatten(), np.repeat(batch.column("class").to_numpy(), sizes)
-                tiles = names.to_numpy().view(np.uint64)
-                hits = cells.value.of(tiles)
-                limit = cells.value.limit
-                part = np.where(hits > limit, 1 + (of & 0xFFFFFF) % np.maximum(1, -(-hits // limit)), 0)
-                yield pa.RecordBatch.from_arrays([names, pa.array(part.astype(np.int32)), pa.array(of)],
-                                                 names=["tile", "part", "class"])
+                named = pa.compute.list_value_length(lists).to_numpy() > 0
+                of = batch.column("class").to_numpy()[named]
+                if not len(of):
+                    continue
+                names = lists.flatten().to_numpy().view(np.uint64).reshape(len(of), -1)
+                first = names[:, :counted].ravel()
+                rows = np.repeat(np.arange(len(of)), len(first) // len(of))
+                rest = pa.array([r.tobytes() for r in names[:, counted:]], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), pa.array(cells.value.parts(first, of[rows]).astype(np.int32)),
+                     pa.array(of[rows]), rest.take(pa.array(rows))], names=["tile", "part", "class", "rest"])
 
-        return self.rows.where("tiles is not null").select("tiles", "class").mapInArrow(deal, "tile long, part int, class long")
+        return self.rows.where("tiles is not null").select("tiles", "class").mapInArrow(
+            deal, "tile long, part int, class long, rest binary")
 
     def arrays(self, wanted: DataFrame) -> DataFrame:
         """(class, elements) of the wanted classes, from the texts again."""
@@ -253,41 +260,53 @@ class Profile:
 
 # --- step 2: tiles, pairs and groups ---------------------------------------
 
+def tile_rows(tile, a, b=None) -> pa.RecordBatch:
+    """Pairs (a, b) of a tile, or its members a."""
+    return pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), pa.array(a, pa.int64()),
+                                       pa.array(b, pa.int64()) if b is not None else pa.nulls(len(a), pa.int64())],
+                                      names=["tile", "a", "b"])
+
+
+def whole_tiles(batches: Iterator[pa.RecordBatch], width: int = 0) -> Iterator[list[np.ndarray]]:
+    """[tile, part, class, and rest if of a width] without repeats, some whole (tile, part) at a time, from rows sorted so."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        come = [batch.column(c).to_numpy() for c in ("tile", "part", "class")]
+        if width:
+            come.append(np.frombuffer(b"".join(batch.column("rest").to_pylist()), np.uint64).reshape(-1, width))
+        held = come if held is None else [np.concatenate(p) for p in zip(held, come)]
+        new = np.ones(len(held[0]), dtype=bool)
+        new[1:] = np.any([h[1:] != h[:-1] for h in held[:3]], axis=0)
+        held = [h[new] for h in held]
+        last = int(np.flatnonzero((held[0] == held[0][-1]) & (held[1] == held[1][-1]))[0])  # the tile that may go on
+        if last:
+            yield [h[:last] for h in held]
+            held = [h[last:] for h in held]
+    if held is not None:
+        yield held
+
+
+def tile_bounds(tiles: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row and rows of every (tile, part)."""
+    starts = np.flatnonzero(np.concatenate([[True], (tiles[1:] != tiles[:-1]) | (parts[1:] != parts[:-1])]))
+    return starts, np.diff(np.concatenate([starts, [len(tiles)]]))
+
+
 def _split_tiles(batches: Iterator[pa.RecordBatch], small: int) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (tile, part, class): pairs of small tiles, members (b null) of larger or dealt ones."""
-    def rows(tile, a, b=None):
-        return pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), pa.array(a, pa.int64()),
-                                           pa.array(b, pa.int64()) if b is not None else pa.nulls(len(a), pa.int64())],
-                                          names=["tile", "a", "b"])
-
-    def closed(tiles, parts, classes):
-        starts = np.flatnonzero(np.concatenate([[True], (tiles[1:] != tiles[:-1]) | (parts[1:] != parts[:-1])]))
-        sizes = np.diff(np.concatenate([starts, [len(tiles)]]))
+    for tiles, parts, classes in whole_tiles(batches):
+        starts, sizes = tile_bounds(tiles, parts)
         whole = parts[starts] == 0
         for size in np.unique(sizes[whole & (sizes > 1) & (sizes <= small)]).tolist():
             of = starts[whole & (sizes == size)]
             held = classes[of[:, None] + np.arange(size)]
             x, y = np.triu_indices(size, 1)
-            yield rows(np.repeat(tiles[of], len(x)), held[:, x].ravel(), held[:, y].ravel())
+            yield tile_rows(np.repeat(tiles[of], len(x)), held[:, x].ravel(), held[:, y].ravel())
         large = np.repeat(~whole | (sizes > small), sizes)
         if large.any():
-            yield rows(tiles[large], classes[large])
-
-    held = [np.empty(0, np.int64)] * 3
-    for batch in batches:
-        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("tile", "part", "class"))]
-        new = np.ones(len(held[0]), dtype=bool)
-        if len(new) > 1:
-            new[1:] = np.any([h[1:] != h[:-1] for h in held], axis=0)
-        held = [h[new] for h in held]
-        if not len(held[0]):
-            continue
-        last = int(np.flatnonzero((held[0] == held[0][-1]) & (held[1] == held[1][-1]))[0])  # the tile that may go on
-        if last:
-            yield from closed(*(h[:last] for h in held))
-            held = [h[last:] for h in held]
-    if len(held[0]):
-        yield from closed(*held)
+            yield tile_rows(tiles[large], classes[large])
 
 
 def _groups(members: DataFrame) -> DataFrame:
@@ -460,13 +479,13 @@ def _check(num: int, den: int):
 
 
 def link(found: Profile, named: DataFrame, num: int, den: int, small_tile: int = 6,
-         block_rows: int = _BLOCK_ROWS, block_elements: int = _BLOCK_ELEMENTS) -> DataFrame:
+         block_rows: int = _BLOCK_ROWS, block_elements: int = _BLOCK_ELEMENTS, split_tiles=_split_tiles) -> DataFrame:
     """(class, component, links) of every class: a class of its component, and documents of other sets that link.
 
-    ``named`` has (tile, part, class), see :class:`Profile`.
+    ``named`` has (tile, part, class) and what ``split_tiles`` needs beside, see :class:`Profile`.
     """
     dealt = named.repartition("tile", "part").sortWithinPartitions("tile", "part", "class")
-    split = materialise(dealt.mapInArrow(lambda b: _split_tiles(b, small_tile), "tile long, a long, b long"))
+    split = materialise(dealt.mapInArrow(lambda b: split_tiles(b, small_tile), "tile long, a long, b long"))
     groups = _groups(split.where("b is null").select("tile", F.col("a").alias("class")))
     held = groups.groupBy("class").agg(F.collect_set("group").alias("groups"))
     classes = found.classes.select("class", "n", "copies", "bits").join(held, "class", "left")

@@ -135,6 +135,47 @@ def test_near_duplicates_match_brute_force(spark, small, rows):
     assert got == brute_components(docs, 5, 85, 100)
 
 
+def test_near_duplicates_of_a_hot_sketch_dealt_over_tasks_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{rng.integers(400)}" for _ in range(90)]
+    docs = [(k, " ".join(w if rng.random() > 0.01 else f"e{rng.integers(40)}" for w in base)) for k in range(150)]
+    docs += [(200 + k, " ".join(f"v{rng.integers(500)}" for _ in range(40))) for k in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    expected = brute_components(docs, 5, 85, 100)
+    assert max(links for _, _, links in expected.values()) > 50
+    for limit in (3, 40, 1 << 16):
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in
+               minhash.near_duplicates(df, tile_rows=limit, block_rows=16).collect()}
+        assert got == expected, limit
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_buckets_told_apart_in_a_task_are_those_of_the_table_keys(parts):
+    """Every pair of classes with a common table key is a pair or in one group; no other pair is told."""
+    import pyarrow as pa
+
+    rng, m, n = np.random.default_rng(parts), 3, 80
+    first, second = rng.integers(0, 4, (n, m)).astype(np.uint64), rng.integers(0, 9, (n, m)).astype(np.uint64)
+    first += np.arange(m, dtype=np.uint64) * np.uint64(10)  # a first sketch is named by its place too
+    rows = sorted((int(first[c, i]), c % parts + (parts > 1), c, second[c].tobytes()) for c in range(n) for i in range(m))
+    rows = [r for r in rows for _ in range(1 + r[2] % 2)]  # repeats
+    table_of = pa.table([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.binary()))],
+                        names=["tile", "part", "class", "rest"])
+    pairs, groups = set(), {}
+    for out in minhash.split_tiles(m)(table_of.to_batches(max_chunksize=17), 4):
+        for tile, a, b in zip(*(out.column(c).to_pylist() for c in ("tile", "a", "b"))):
+            if b is None:
+                groups.setdefault(tile, set()).add(a)
+            else:
+                pairs.add((a, b))
+    told = pairs | {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    expected = {(a, b) for a in range(n) for b in range(a + 1, n)
+                if any(first[a, i] == first[b, i] and (second[a] == second[b]).any() for i in range(m))}
+    assert expected <= told and pairs <= expected
+    if parts > 1:
+        assert told == expected
+
+
 def test_minhash_query_agrees_with_the_exact_join(spark):
     docs = table(spark, SMALL, "documents")
     exact = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similarity_classes(docs, 5, 85, 100).collect()}
