@@ -1,4 +1,4 @@
-"""Model queries on the driver tables (rows-only check: no SQL twin).
+"""Model queries on the driver tables (rows-only check: no SQL twin, but for ``lr_cv_lines``).
 
 All read the whole star schema through the end-to-end flow; models, folds,
 trials and search ranges are those of the source's runs (``models.GBT_PRESETS``,
@@ -14,7 +14,7 @@ from gable.ml import features as MF
 from gable.ml import models, search
 from gable.operators import split
 from gable.plans import star
-from gable.plans.catalog import register
+from gable.plans.catalog import _bucket_sql, register, table
 from gable.session import scratch_path
 
 
@@ -52,6 +52,37 @@ def q_lr_cv(spark, d):
     return _cv(spark, d, "linear", None, "linear")
 
 
+@register("lr_cv_lines", f"""
+WITH rows AS (
+  SELECT CAST({_bucket_sql('CAST(l_orderkey AS VARCHAR)', 'fold:42', 5)} AS INTEGER) AS fold,
+         l_extendedprice AS y, l_quantity AS x1, l_discount AS x2
+  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL AND l_discount IS NOT NULL),
+origin AS (SELECT avg(y) AS oy, avg(x1) AS o1, avg(x2) AS o2 FROM rows),
+z AS (SELECT fold, y, y - oy AS y0, x1 - o1 AS a, x2 - o2 AS b FROM rows, origin),
+sums AS (SELECT fold, count(*) AS n, sum(y0) AS y, sum(a) AS a, sum(b) AS b, sum(a * a) AS aa, sum(a * b) AS ab,
+                sum(b * b) AS bb, sum(a * y0) AS ay, sum(b * y0) AS yb FROM z GROUP BY fold),
+train AS (SELECT k.fold AS k, sum(s.n) AS n, sum(s.y) AS y, sum(s.a) AS a, sum(s.b) AS b, sum(s.aa) AS aa,
+                 sum(s.ab) AS ab, sum(s.bb) AS bb, sum(s.ay) AS ay, sum(s.yb) AS yb
+          FROM sums k JOIN sums s ON s.fold <> k.fold GROUP BY k.fold),
+centred AS (SELECT k, y / n AS my, a / n AS ma, b / n AS mb, aa - a * a / n AS aa, ab - a * b / n AS ab, bb - b * b / n AS bb,
+                   ay - a * y / n AS ay, yb - b * y / n AS yb FROM train),
+solved AS (SELECT k, my, ma, mb, (bb * ay - ab * yb) / (aa * bb - ab * ab) AS ca,
+                  (aa * yb - ab * ay) / (aa * bb - ab * ab) AS cb FROM centred),
+scored AS (SELECT k, CASE WHEN fold = k THEN 'val' ELSE 'train' END AS split, y0,
+                  y0 - (my + ca * (a - ma) + cb * (b - mb)) AS err FROM z, solved)
+SELECT k AS fold, split, count(*) AS n, round(avg(abs(err)), 4) AS mae, round(sqrt(avg(err * err)), 4) AS rmse,
+       round(1 - sum(err * err) / (count(*) * var_pop(y0)), 9) AS r2
+FROM scored GROUP BY k, split
+""")
+def q_lr_cv_lines(spark, d):
+    """M1 on two features of all order lines; the lines of an order are in one fold."""
+    lines = table(spark, d, "lineitem").dropna(subset=["l_orderkey", "l_extendedprice", "l_quantity", "l_discount"])
+    lines = split.assign_fold(lines, "l_orderkey", 5, seed=42)
+    folds = models.cross_validate(lines, ["l_quantity", "l_discount"], "l_extendedprice", "linear", materialize=False)
+    return folds.select("fold", "split", "n", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"),
+                        F.round("r2", 9).alias("r2"))
+
+
 @register("rf_cv")
 def q_rf_cv(spark, d):
     return _cv(spark, d, "rf", None, "rf")
