@@ -112,6 +112,8 @@ def _walk(words: DataFrame, levels: int) -> DataFrame:
     letter, following = (F.substring(word, position + k, F.lit(1)) for k in (1, 2))  # position counts the mark; "" beyond the end
     going, tables = None, []
     for level in itertools.count():
+        # a word that still walks here has 2 * level + 1 letters at least and started behind its half, so its node is that long too
+        deep = edges.where(F.length("node") > 2 * level)
         whole = spelled.where(F.col("start") + level < F.length("spelled")).select(
             F.col("spelled").alias("word"), (F.col("start") + level).alias("position"),
             F.substring("spelled", F.lit(1), F.col("start") + level).alias("node"))
@@ -120,11 +122,11 @@ def _walk(words: DataFrame, levels: int) -> DataFrame:
             break
         # the next one of equal letters is dropped, not this one
         edited = whole.where(letter != following).select(word, (position + 1).alias("position"), node).union(
-            whole.join(edges, "node").where((F.col("ch") != letter) & (F.col("ch") != "")).select(
+            whole.join(deep, "node").where((F.col("ch") != letter) & (F.col("ch") != "")).select(
                 word, (position + 1).alias("position"), F.concat(node, "ch").alias("node")))
         if going is not None:
             edited = edited.union(going) if on else going
-        new = materialise(edited.withColumn("ch", letter).join(edges, ["node", "ch"], "left_semi").select(
+        new = materialise(edited.withColumn("ch", letter).join(deep, ["node", "ch"], "left_semi").select(
             word, (position + 1).alias("position"), F.concat(node, "ch").alias("node")))
         tables.append(new)
         going = new.where(position <= F.length(word))
