@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gable.ml import end_to_end_sql
 from gable.ml import features as MF
 from gable.ml import models, search
+from gable.ml.boosting import loss_table
 from gable.operators import split
 from gable.plans import star
 from gable.plans.catalog import _bucket_sql, register, table
@@ -102,6 +103,15 @@ def q_early_stop_gbt(spark, d):
     return models.importance_table(model, feats).withColumn("trees_kept", F.lit(n_trees))
 
 
+@register("early_stop_losses")
+def q_early_stop_losses(spark, d):
+    """M5: training and validation loss after each tree, and the trees that are kept."""
+    frame, feats = model_frame(spark, d)
+    train, (val,), _ = MF.median_impute(frame.where(F.col("split") == "train"),
+                                        [frame.where(F.col("split") == "val")], feats)
+    return loss_table(spark, models.boosted_on_split(train, val, feats, "price", "xgb"))
+
+
 @register("feature_elimination")
 def q_feature_elimination(spark, d):
     frame, feats = model_frame(spark, d)
