@@ -257,7 +257,7 @@ class Encoder:
     Any other tokenizer gets whole texts.
     """
 
-    def __init__(self, path: str, end_id: int, limit: int = 300_000):
+    def __init__(self, path: str, end_id: int, limit: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
